@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from folioforge.llm import line_dedup, substring_dedup
+from folioforge.llm import line_dedup, simhash, substring_dedup
 
 
 def queries() -> dict:
-    return {"op9_line_dedup": line_dedup.op9_line_dedup, "op10_substring_dedup": substring_dedup.op10_substring_dedup}
+    return {
+        "op4_simhash": simhash.op4_simhash,
+        "op9_line_dedup": line_dedup.op9_line_dedup,
+        "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,3 +20,31 @@ def substring_dedup(rows, width=20):
         kept = " ".join(x for i, x in enumerate(w) if i not in gone)
         out[d] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
     return out
+
+
+def simhash(rows, bits=2):
+    """rows: (doc_id, text). {doc_id: (fingerprint, component_id)} from all pairs of distinct fingerprints."""
+    import numpy as np
+    import xxhash
+
+    prints = {}
+    for d, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] * bool(w)
+        h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in s]
+        prints[d] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    ids = sorted(prints)
+    f = np.array([prints[d] for d in ids], np.uint64)
+    root = list(range(len(ids)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i in range(len(ids)):
+        for j in np.flatnonzero(np.bitwise_count(f[i + 1 :] ^ f[i]) <= bits):
+            a, b = find(i), find(int(j) + i + 1)
+            root[max(a, b)] = min(a, b)
+    return {d: (f"{prints[d]:016x}", ids[find(i)]) for i, d in enumerate(ids)}
