@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioforge.llm import line_dedup, simhash, substring_dedup
+from folioforge.llm import bpe_fst, line_dedup, simhash, substring_dedup, token_pack
 
 
 def queries() -> dict:
     return {
+        "op3_token_pack": token_pack.op3_token_pack,
         "op4_simhash": simhash.op4_simhash,
+        "op6_bpe_fst": bpe_fst.op6_bpe_fst,
         "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
