@@ -82,8 +82,8 @@ class Model:
 
     def __init__(self, texts: list[str], langs: list[str]):
         x = vectors(texts)
-        scale = 1 / (x.std(axis=0) + 1e-4)
-        x *= scale / np.sqrt(BUCKETS)
+        scale = (1 / (x.std(axis=0) + 1e-4) / np.sqrt(BUCKETS)).astype(np.float32)
+        x *= scale
         lang = np.array(langs)
         family = np.array([_FAMILY.get(c, c) for c in langs])
         self.families = sorted(set(family.tolist()))
@@ -95,9 +95,9 @@ class Model:
                 rows = (of == a) | (of == b)
                 y = np.where(of[rows] == a, 1.0, -1.0)
                 even = np.where(y > 0, 1 / (y > 0).sum(), 1 / (y < 0).sum())  # both sides count alike
-                w, bias = linear.svm(x[rows].astype(np.float64), y, penalty=1000.0, weight=even)
+                w, bias = linear.svm(x[rows], y, penalty=1000.0, weight=even)
                 self.machines.append((a, b))
-                weights.append(w * scale / np.sqrt(BUCKETS))
+                weights.append(w * scale)
                 self.bias.append(bias)
         self.table = np.array(weights).reshape(len(weights), BUCKETS).T.astype(np.float32)
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import arrays, shared
@@ -127,7 +127,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from docs (doc_id, text) and labels (doc_id, quality): up to sample documents of each label."""
     known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rows = known.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
-    chosen = rows.withColumn("r", F.row_number().over(Window.partitionBy("quality").orderBy("h", "doc_id"))).filter(F.col("r") <= sample)
+    top = [rows.filter(F.col("quality") == k).orderBy("h", "doc_id").limit(sample) for k in (0, 1)]  # each task keeps its own first
+    chosen = top[0].union(top[1])
     got = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id").filter("text IS NOT NULL").select("doc_id", "text", "quality").collect()
     got = sorted({r["doc_id"]: (r["doc_id"], r["text"], r["quality"]) for r in sorted(got)}.values())
     return Model([t for _, t, _ in got], [x for _, _, x in got])

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import arrays, linear, pretoken, shared
@@ -74,13 +74,16 @@ def features(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def kernel(words: list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
-    table = np.zeros((len(landmarks), 1 << 18), np.float32)
     row, sub, weight = features(landmarks)
-    table[row, sub] = weight
+    held, column = np.unique(sub, return_inverse=True)
+    table = np.zeros((len(held), len(landmarks)), np.float32)
+    table[column, row] = weight
     out = np.zeros((len(words), len(landmarks)))
-    row, sub, weight = features(words)
-    for m in range(len(landmarks)):
-        out[:, m] = np.bincount(row, weight * table[m, sub], len(words))
+    for i in range(0, len(words), 500):
+        row, sub, weight = features(words[i : i + 500])
+        at = np.minimum(np.searchsorted(held, sub), len(held) - 1)
+        row, at, weight = (x[held[at] == sub] for x in (row, at, weight))
+        np.add.at(out, row + i, weight[:, None] * table[at])
     return out
 
 
@@ -126,12 +129,14 @@ class Model:
         owner, key, spell = [], [], {}
         for i, _, codes, starts, ends, text, _ in words_of(texts):
             hashes = self._hash(codes, starts, ends)
-            owner.append(text + i)
-            key.append(hashes)
+            _, once = np.unique(hashes ^ arrays.mix(text.astype(np.uint64) + np.uint64(1)), return_index=True)
+            owner.append(text[once] + i)
+            key.append(hashes[once])
             for h, at in zip(*np.unique(hashes, return_index=True), strict=True):
                 spell.setdefault(int(h), codes[starts[at] : ends[at]])
-        pairs = np.unique(np.stack([np.concatenate(owner).astype(np.uint64), np.concatenate(key)], 1), axis=0)
-        owner, key = pairs[:, 0].astype(np.int64), pairs[:, 1]
+        if not owner:
+            return
+        owner, key = np.concatenate(owner), np.concatenate(key)
         names, inverse = np.unique(key, return_inverse=True)
         bad = np.bincount(inverse, label[owner], len(names))
         good = np.bincount(inverse, 1 - label[owner], len(names))
@@ -222,7 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # The ids of the sample first, from the narrow table; then their texts.
     rows = known.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
-    chosen = rows.withColumn("r", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id"))).filter(F.col("r") <= sample)
+    top = [rows.filter(F.col("toxic") == k).orderBy("h", "doc_id").limit(sample) for k in (0, 1)]  # each task keeps its own first
+    chosen = top[0].union(top[1])
     got = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").filter("text IS NOT NULL").select("doc_id", "text", "toxic").collect()
     got = sorted({r["doc_id"]: (r["doc_id"], r["text"], r["toxic"]) for r in sorted(got)}.values())
     return Model([t for _, t, _ in got], [x for _, _, x in got])
