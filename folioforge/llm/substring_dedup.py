@@ -15,8 +15,8 @@ whole block of the document where it first stands. Documents are dealt into chun
 
 No pairs are formed, so a passage that a third of the documents hold costs one entry a chunk and hash. Hash
 ranges and chunks hold a bounded number of entries at any input size: their numbers follow the input.
-The text is shuffled once; the three passes read the same exchange. Probe hashes are cut to 48 bits, which
-can only add windows to step 2. The 96 bits of step 2 decide equality.
+The text is compressed and shuffled once; the three passes read the same exchange. Probe hashes are cut to a
+length that follows the input, which can only add windows to step 2. The 96 bits of step 2 decide equality.
 
 Edge cases: a null or empty text has no words and stays as it is (kept text ''). A null doc_id counts as the
 smallest one. Rows that repeat a doc_id are separate rows; equal starts in them are the same place, and
@@ -26,6 +26,7 @@ neither counts as earlier. Other columns of the input are not read.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,30 +40,39 @@ WIDTH = 20
 CHUNK_BYTES = 2 << 20
 RANGE_WINDOWS = 1 << 20
 _NULL_ID = -(1 << 63)
+#: Bits of a probe's hash beyond those that number all windows: chance hits are rarer than one in 2**14 windows.
+_SPARE_BITS = 14
 
-_PROBES = "r long, chunk long, keys binary, marks binary"
-_ANSWER = "chunk long, keys binary"
+_PROBES = "r long, chunk long, n long, keys binary, marks binary"
+_ANSWER = "chunk long, n long, keys binary"
 _FULL = "r long, chunk long, n long, hashes binary, places binary"
 RESULT = "doc_id long, text string, n_words long, n_removed long, spans array<struct<start:long,end:long>>"
 
 
 def _pack(keys: np.ndarray) -> bytes:
-    """Sorted distinct keys as 32-bit steps, or whole where a step is longer."""
+    """Sorted distinct keys as steps, in as many byte planes as the longest takes; the upper planes, which are mostly zeros, deflated."""
     steps = np.diff(keys, prepend=np.uint64(0))
-    if len(keys) > 1 and steps[1:].max() < 1 << 32:
-        return b"s" + keys[:1].tobytes() + steps[1:].astype(np.uint32).tobytes()
-    return b"w" + keys.tobytes()
+    planes = np.ascontiguousarray(steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    used = (int(steps[1:].max(initial=0)).bit_length() + 7) // 8
+    plain = max(0, used - 2)
+    return keys[:1].astype("<u8").tobytes() + bytes([used]) + planes[:plain].tobytes() + zlib.compress(planes[plain:used].tobytes(), 1)
 
 
-def _unpack(blob: bytes) -> np.ndarray:
-    if blob[:1] == b"w":
-        return np.frombuffer(blob, np.uint64, offset=1)
-    first = np.frombuffer(blob, np.uint64, 1, 1)
-    return np.cumsum(np.concatenate([first, np.frombuffer(blob, np.uint32, offset=9).astype(np.uint64)]), dtype=np.uint64)
+def _unpack(blob: bytes, n: int) -> np.ndarray:
+    used = blob[8]
+    plain = max(0, used - 2)
+    planes = np.zeros((8, n - 1), np.uint8)
+    at = 9 + plain * (n - 1)
+    planes[:plain] = np.frombuffer(blob[9:at], np.uint8).reshape(plain, n - 1)
+    planes[plain:used] = np.frombuffer(zlib.decompress(blob[at:]), np.uint8).reshape(used - plain, n - 1)
+    steps = np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
+    return np.cumsum(np.concatenate([np.frombuffer(blob, "<u8", 1), steps]), dtype=np.uint64)
 
 
-def _union(blobs: list[bytes]) -> np.ndarray:
-    return np.unique(np.concatenate([_unpack(b) for b in blobs])) if blobs else np.zeros(0, np.uint64)
+def _union(rows: pa.Table) -> np.ndarray:
+    """All keys of the answers, sorted and distinct."""
+    blobs = [_unpack(b, n) for b, n in zip(rows.column("keys").to_pylist(), rows.column("n").to_pylist(), strict=True)]
+    return np.unique(np.concatenate(blobs)) if blobs else np.zeros(0, np.uint64)
 
 
 def _member(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -77,9 +87,10 @@ def _member(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
 class _Chunk:
     """The words of a chunk's documents as hashes; first has the n + 1 places of each document's words."""
 
-    def __init__(self, docs: pa.Table, width: int):
+    def __init__(self, docs: pa.Table, width: int, bits: int = 64):
         self.ids = np.asarray(docs.column("d").combine_chunks())
-        self.column = docs.column("text").combine_chunks()
+        texts = [pa.decompress(z, n, "zstd", asbytes=True) for z, n in zip(docs.column("z").to_pylist(), docs.column("n_bytes").to_pylist(), strict=True)]
+        self.column = pa.array(texts, pa.large_binary())
         buf, offs = arrays.utf8(self.column)
         hashes, counts = [], []
         for i, j in arrays.slices(offs):
@@ -89,16 +100,16 @@ class _Chunk:
             counts.append(np.diff(first))
         self.words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.first = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
-        self.width, self.block = width, width // 2
+        self.width, self.block, self.bits = width, width // 2, bits
 
     def doc_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, at, "right") - 1
 
     def blocks(self) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and 48-bit hashes of all block-long windows of documents that hold a full window."""
+        """Starts and cut hashes of all block-long windows of documents that hold a full window."""
         at = arrays.window_starts(self.first, self.block)
         at = at[np.diff(self.first)[self.doc_of(at)] >= self.width]
-        return at, arrays.span_hash(self.words, at, at + self.block) >> np.uint64(16)
+        return at, arrays.span_hash(self.words, at, at + self.block) >> np.uint64(64 - self.bits)
 
     def windows(self) -> np.ndarray:
         return arrays.window_starts(self.first, self.width)
@@ -108,9 +119,10 @@ class _Chunk:
         return arrays.span_hash(self.words, at, at + self.width), (arrays.span_hash(other, at, at + self.width) >> np.uint64(32)).astype(np.uint32)
 
 
-def _ranges(keys48: np.ndarray, n: int) -> np.ndarray:
-    """The range, of n, of sorted 48-bit keys: it rises with the key."""
-    return ((keys48 >> np.uint64(8)) * np.uint64(n)) >> np.uint64(40)
+def _ranges(keys: np.ndarray, bits: int, n: int) -> np.ndarray:
+    """The range, of n, of sorted keys of so many bits: it rises with the key."""
+    top = min(bits, 38)
+    return ((keys >> np.uint64(bits - top)) * np.uint64(n)) >> np.uint64(top)
 
 
 def _cuts(r: np.ndarray) -> list[tuple[int, int]]:
@@ -118,15 +130,23 @@ def _cuts(r: np.ndarray) -> list[tuple[int, int]]:
     return list(zip([0, *at.tolist()], [*at.tolist(), len(r)], strict=True)) if len(r) else []
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, before they are dealt out."""
+    for batch in batches:
+        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        z = pa.array([pa.compress(t, "zstd", asbytes=True) for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column("chunk"), z, pa.array(list(map(len, texts)), pa.int64())], ["d", "chunk", "z", "n_bytes"])
+
+
 def _groups(same: np.ndarray) -> np.ndarray:
     """Starts of the groups of one or more sorted entries; same: which entries equal the one before."""
     return np.flatnonzero(np.concatenate([[True], ~same]))
 
 
-def _probe(width: int, n_ranges: int, docs: pa.Table) -> pa.Table:
-    chunk = _Chunk(docs, width)
+def _probe(width: int, n_ranges: int, bits: int, docs: pa.Table) -> pa.Table:
+    chunk = _Chunk(docs, width, bits)
     at, keys = chunk.blocks()
-    rows: dict[str, list] = {"r": [], "chunk": [], "keys": [], "marks": []}
+    rows: dict[str, list] = {"r": [], "chunk": [], "n": [], "keys": [], "marks": []}
     if len(at):
         block = (at - chunk.first[chunk.doc_of(at)]) % chunk.block == 0
         order = np.argsort(keys, kind="stable")
@@ -134,31 +154,33 @@ def _probe(width: int, n_ranges: int, docs: pa.Table) -> pa.Table:
         heads = _groups(keys[1:] == keys[:-1])
         marks = np.logical_or.reduceat(block, heads).astype(np.uint8) + 2 * (np.diff(heads, append=len(keys)) > 1).astype(np.uint8)
         keys = keys[heads]
-        r = _ranges(keys, n_ranges)
+        r = _ranges(keys, bits, n_ranges)
         for i, j in _cuts(r):
             rows["r"].append(int(r[i]))
             rows["chunk"].append(docs.column("chunk")[0].as_py())
+            rows["n"].append(j - i)
             rows["keys"].append(_pack(keys[i:j]))
             rows["marks"].append(np.packbits(np.concatenate([marks[i:j] & 1, marks[i:j] >> 1])).tobytes())
-    return pa.table(rows, schema=pa.schema([("r", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("marks", pa.binary())]))
+    return pa.table(rows, schema=pa.schema([("r", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("marks", pa.binary())]))
 
 
 def _answer(chunks: list[int], source: np.ndarray, keys: np.ndarray) -> pa.Table:
     """A row for each source: its keys, sorted and distinct."""
-    out: dict[str, list] = {"chunk": [], "keys": []}
+    out: dict[str, list] = {"chunk": [], "n": [], "keys": []}
     order = np.lexsort((keys, source))
     source, keys = source[order], keys[order]
     for i, j in _cuts(source):
         out["chunk"].append(chunks[int(source[i])])
-        out["keys"].append(_pack(np.unique(keys[i:j])))
-    return pa.table(out, schema=pa.schema([("chunk", pa.int64()), ("keys", pa.binary())]))
+        each = np.unique(keys[i:j])
+        out["n"].append(len(each))
+        out["keys"].append(_pack(each))
+    return pa.table(out, schema=pa.schema([("chunk", pa.int64()), ("n", pa.int64()), ("keys", pa.binary())]))
 
 
 def _hits(rows: pa.Table) -> pa.Table:
     keys, anchors, several = [], [], []
-    for blob, marks in zip(rows.column("keys").to_pylist(), rows.column("marks").to_pylist(), strict=True):
-        keys.append(_unpack(blob))
-        n = len(keys[-1])
+    for n, blob, marks in zip(rows.column("n").to_pylist(), rows.column("keys").to_pylist(), rows.column("marks").to_pylist(), strict=True):
+        keys.append(_unpack(blob, n))
         bits = np.unpackbits(np.frombuffer(marks, np.uint8), count=2 * n)
         anchors.append(bits[:n])
         several.append(bits[n:])
@@ -172,13 +194,13 @@ def _hits(rows: pa.Table) -> pa.Table:
     return _answer(rows.column("chunk").to_pylist(), source[hit], key[hit])
 
 
-def _extend(width: int, n_ranges: int, docs: pa.Table, hits: pa.Table) -> pa.Table:
+def _extend(width: int, n_ranges: int, bits: int, docs: pa.Table, hits: pa.Table) -> pa.Table:
     rows: dict[str, list] = {"r": [], "chunk": [], "n": [], "hashes": [], "places": []}
     if docs.num_rows and hits.num_rows:
-        chunk = _Chunk(docs, width)
+        chunk = _Chunk(docs, width, bits)
         at, keys = chunk.blocks()
         hit = np.zeros(len(chunk.words) + 1, np.int64)
-        hit[at + 1] = _member(keys, _union(hits.column("keys").to_pylist()))
+        hit[at + 1] = _member(keys, _union(hits))
         hit = np.cumsum(hit)
         at = chunk.windows()
         at = at[hit[at + width - chunk.block] > hit[at]]
@@ -189,7 +211,7 @@ def _extend(width: int, n_ranges: int, docs: pa.Table, hits: pa.Table) -> pa.Tab
         h, g, ids, pos = h[order], g[order], ids[order], pos[order]
         heads = _groups((h[1:] == h[:-1]) & (g[1:] == g[:-1])) if len(h) else np.zeros(0, int)
         h, g, ids, pos = h[heads], g[heads], ids[heads], pos[heads]
-        r = _ranges(h >> np.uint64(16), n_ranges)
+        r = _ranges(h, 64, n_ranges)
         for i, j in _cuts(r):
             by = i + np.lexsort((pos[i:j], ids[i:j]))
             rows["r"].append(int(r[i]))
@@ -226,7 +248,7 @@ def _merge(width: int, docs: pa.Table, answers: pa.Table) -> pa.Table:
     gone = np.zeros(len(chunk.words), bool)
     if len(at):
         h, g = chunk.full(at)
-        later = _member(h, _union(answers.column("keys").to_pylist()))
+        later = _member(h, _union(answers))
         doc = chunk.doc_of(at)
         ids, pos = chunk.ids[doc], at - chunk.first[doc]
         order = np.lexsort((pos, ids, g, h))  # repeats inside the chunk
@@ -240,7 +262,7 @@ def _merge(width: int, docs: pa.Table, answers: pa.Table) -> pa.Table:
         gone = np.cumsum(cover)[:-1] > 0
     texts, removed, spans = [], [], []
     for k, text in enumerate(chunk.column.to_pylist()):
-        words = (text or "").encode().split()
+        words = text.split()
         drop = gone[chunk.first[k] : chunk.first[k + 1]]
         n = int(drop.sum())
         if n:
@@ -272,14 +294,16 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUN
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_chunks = 1 + n_bytes // chunk_bytes
     n_ranges = 1 + n_bytes // 5 // range_windows
-    chunks = docs.select(
+    bits = min(64, _SPARE_BITS + (n_bytes // 5 + 1).bit_length())
+    rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("d"),
-        F.col("text").cast("string").alias("text"),
         F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).alias("chunk"),
+        F.col("text").cast("string").alias("text"),
     )
+    chunks = rows.mapInArrow(_squeeze, "d long, chunk long, z binary, n_bytes long")
     by_chunk = lambda: chunks.groupBy("chunk")
-    hits = by_chunk().applyInArrow(_one(_probe, width, n_ranges), _PROBES).groupBy("r").applyInArrow(_one(_hits), _ANSWER)
-    full = by_chunk().cogroup(hits.groupBy("chunk")).applyInArrow(_two(_extend, width, n_ranges), _FULL)
+    hits = by_chunk().applyInArrow(_one(_probe, width, n_ranges, bits), _PROBES).groupBy("r").applyInArrow(_one(_hits), _ANSWER)
+    full = by_chunk().cogroup(hits.groupBy("chunk")).applyInArrow(_two(_extend, width, n_ranges, bits), _FULL)
     later = full.groupBy("r").applyInArrow(_one(_later), _ANSWER)
     return by_chunk().cogroup(later.groupBy("chunk")).applyInArrow(_two(_merge, width), RESULT)
 

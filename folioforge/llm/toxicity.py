@@ -36,7 +36,7 @@ SAMPLE = 1500
 LANDMARKS = 256
 ROUNDS = 5
 #: The share of toxic documents that a word which marks toxic sentences stands in.
-SEED_SHARE = 0.012
+SEED_SHARE = 0.02
 DECAY = 0.5
 SPAN = 5
 THRESHOLD = 0.3
@@ -143,7 +143,7 @@ class Model:
         n_bad, n_good = label.sum(), len(label) - label.sum()
         odds = np.log((bad + 0.1) / n_bad) - np.log((good + 0.5) / n_good)
         long = np.array([len(spell[int(h)]) > 2 for h in names])
-        seeds = np.flatnonzero((bad >= max(3, SEED_SHARE * n_bad)) & (odds > np.log(10)) & long)
+        seeds = np.flatnonzero((bad >= max(5, SEED_SHARE * n_bad)) & (odds > np.log(10)) & long)
         clean = np.flatnonzero(good > 0)
         if not len(seeds):
             return
@@ -230,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     top = [rows.filter(F.col("toxic") == k).orderBy("h", "doc_id").limit(sample) for k in (0, 1)]  # each task keeps its own first
     chosen = top[0].union(top[1])
     got = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").filter("text IS NOT NULL").select("doc_id", "text", "toxic").collect()
-    got = sorted({r["doc_id"]: (r["doc_id"], r["text"], r["toxic"]) for r in sorted(got)}.values())
+    got = sorted({r["text"]: (r["doc_id"], r["text"], r["toxic"]) for r in sorted(got)}.values())  # copies count once
     return Model([t for _, t, _ in got], [x for _, _, x in got])
 
 
