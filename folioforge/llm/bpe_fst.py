@@ -54,7 +54,7 @@ def merge(ranks: dict[bytes, int], data: bytes) -> list[bytes]:
 class Transducer:
     """encode(piece) gives token ids; step() is the automaton itself."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 1 << 18):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 1 << 16):
         self.ranks, self.most = ranks, most_states
         self.by_rank = {i: b for b, i in ranks.items()}
         self.token_lens = {i: len(b) for b, i in ranks.items()}
@@ -95,7 +95,7 @@ class Transducer:
             x, y = self.by_rank[a], self.by_rank[b]
             joined = x + y
             known = not (joined in self.ranks and self._reachable(joined)) and merge(self.ranks, joined) == [x, y]
-            if len(self.pairs) >= self.most:
+            if len(self.pairs) >= 2 * self.most:
                 self.pairs.clear()
             self.pairs[a, b] = known
         return known
@@ -233,38 +233,50 @@ def codec(raw: bytes) -> Codec:
     return _codecs[key]
 
 
-def encode_decode(docs: DataFrame, rank_file: bytes) -> DataFrame:
-    """doc_id, ids (array of ints) and the decoded text of each row."""
+#: Rows encoded at once.
+ROWS = 512
+
+
+def _coded(own: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray], list[str]]]:
+    """(doc_ids, ids, decoded texts) of a few rows at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            part = batch.slice(k, ROWS)
+            ids = list(own.encode(part.column("text").to_pylist()))
+            texts = ["".join(own.decode_stream(each[i : i + 65536] for i in range(0, len(each), 65536))) for each in ids]
+            yield part.column("doc_id"), ids, texts
+
+
+def _map(docs: DataFrame, rank_file: bytes, pack, schema: str) -> DataFrame:
     spec = docs.sparkSession.sparkContext.broadcast(rank_file)  # a vocabulary file: about 1 MB
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(spec.value)
-        for batch in batches:
-            ids, texts = [], []
-            for each in own.encode(batch.column("text").to_pylist()):
-                ids.append(each)
-                texts.append("".join(own.decode_stream(each[i : i + 65536] for i in range(0, len(each), 65536))))
-            offs = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat)), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+        for doc_ids, ids, texts in _coded(codec(spec.value), batches):
+            yield pa.RecordBatch.from_arrays([doc_ids, *pack(ids, texts)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def encode_decode(docs: DataFrame, rank_file: bytes) -> DataFrame:
+    """doc_id, ids (array of ints) and the decoded text of each row."""
+
+    def pack(ids: list[np.ndarray], texts: list[str]) -> list[pa.Array]:
+        offs = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(ids).astype(np.int32))), pa.array(texts, pa.string())]
+
+    return _map(docs, rank_file, pack, "doc_id long, ids array<int>, decoded string")
 
 
 def digest(docs: DataFrame, rank_file: bytes) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row of docs."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            offs = np.asarray(ids.offsets)
-            flat = np.asarray(ids.values).astype("<u4")
-            shas = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(offs[:-1], offs[1:], strict=True)]
-            text, at = arrays.utf8(batch.column("decoded"))
-            back = [hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offs), pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return encode_decode(docs, rank_file).mapInArrow(hashed, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def pack(ids: list[np.ndarray], texts: list[str]) -> list[pa.Array]:
+        shas = [hashlib.sha256(np.ascontiguousarray(x, "<u4")).hexdigest() for x in ids]
+        back = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+        return [pa.array([len(x) for x in ids], pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())]
+
+    return _map(docs, rank_file, pack, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def rank_file() -> bytes:

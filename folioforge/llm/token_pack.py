@@ -163,50 +163,49 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, en
     return docs.sparkSession.read.parquet(f"{path}/manifest")
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), ids of each document, read back from the files."""
+def _documents(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(doc_ids, starts, ids, n + 1 places in ids) of some documents of the named shards at a time."""
+    store, folder = _store(path)
+    for batch in batches:
+        for name, base in zip(batch.column("name").to_pylist(), batch.column("base").to_pylist(), strict=True):
+            with store.open_input_file(f"{folder}/{name}") as source:
+                shard = Shard(source)
+                ends = np.append(shard.firsts[1:], shard.n_ids)
+                for i in range(0, len(ends), 256):
+                    first, last = shard.firsts[i : i + 256], ends[i : i + 256]
+                    doc_ids = pa.array([None if d == _NULL_ID else d for d in shard.doc_ids[i : i + 256].tolist()], pa.int64())
+                    yield doc_ids, base + first, shard.read(int(first[0]), int(last[-1])), np.append(first, last[-1]) - first[0]
+
+
+def _read(spark: SparkSession, path: str, pack, schema: str) -> DataFrame:
     shards = spark.read.parquet(f"{path}/manifest").orderBy("first_doc", "order").collect()  # a row a shard
     starts = np.cumsum([0, *(s["ids"] for s in shards)])
     rows = [(s["name"], int(b)) for s, b in zip(shards, starts, strict=False)]
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, folder = _store(path)
-        for batch in batches:
-            for name, base in zip(batch.column("name").to_pylist(), batch.column("base").to_pylist(), strict=True):
-                with store.open_input_file(f"{folder}/{name}") as source:
-                    shard = Shard(source)
-                    ends = np.append(shard.firsts[1:], shard.n_ids)
-                    for i in range(0, len(ends), 256):
-                        first, last = shard.firsts[i : i + 256], ends[i : i + 256]
-                        ids = shard.read(int(first[0]), int(last[-1]))
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([None if d == _NULL_ID else d for d in shard.doc_ids[i : i + 256].tolist()], pa.int64()),
-                                pa.array(base + first, pa.int64()),
-                                pa.ListArray.from_arrays(pa.array(np.append(first, last[-1]) - first[0], pa.int32()), pa.array(ids.astype(np.int64), pa.int64())),
-                            ],
-                            ["doc_id", "start", "ids"],
-                        )
-
-    out = "doc_id long, start long, ids array<long>"
     if not rows:
-        return spark.createDataFrame([], out)
-    names = spark.createDataFrame(rows, "name string, base long").repartition(min(len(rows), 10_000))
-    return names.mapInArrow(read, out)
+        return spark.createDataFrame([], schema)
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, start, ids, offs in _documents(path, batches):
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(start, pa.int64()), *pack(ids, offs)], names)
+
+    return spark.createDataFrame(rows, "name string, base long").repartition(min(len(rows), 10_000)).mapInArrow(run, schema)
+
+
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start (ids of all documents before), ids of each document, read back from the files."""
+    pack = lambda ids, offs: [pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids, pa.int64()))]
+    return _read(spark, path, pack, "doc_id long, start long, ids array<long>")
 
 
 def read_digest(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, read back from the files."""
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            offs = np.asarray(ids.offsets)
-            flat = np.asarray(ids.values).astype("<u4")
-            crc = [zlib.crc32(flat[a:b]) for a, b in zip(offs[:-1], offs[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(offs), pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+    def pack(ids: np.ndarray, offs: np.ndarray) -> list[pa.Array]:
+        crc = [zlib.crc32(np.ascontiguousarray(ids[a:b], "<u4")) for a, b in zip(offs[:-1], offs[1:], strict=True)]
+        return [pa.array(np.diff(offs), pa.int64()), pa.array(crc, pa.int64())]
 
-    return read_shards(spark, path).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _read(spark, path, pack, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op3_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
