@@ -140,9 +140,13 @@ class Model:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from docs (doc_id, text, lang): up to sample rows of each language."""
-    rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select("lang", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "doc_id")
-    first = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= sample)
-    got = first.select("text", "lang").collect()  # bounded by the sample
+    rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select("lang", "doc_id", F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string")), 1).alias("u"))
+    # Only rows whose hash can be among the first of their language are ranked.
+    share = rows.groupBy("lang").agg((F.lit(3.0 * sample + 100) / F.count("*") * float(1 << 63)).alias("top"))
+    low = rows.join(F.broadcast(share), "lang").filter("u < top")  # a row a language
+    first = low.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id"))).filter(F.col("r") <= sample)
+    chosen = F.broadcast(first.select("doc_id").distinct())  # sample ids a language at most
+    got = docs.filter("text IS NOT NULL AND lang IS NOT NULL").join(chosen, "doc_id").select("text", "lang").collect()  # bounded by the sample
     got = sorted((r["lang"], r["text"]) for r in got)
     return Model([t for _, t in got], [c for c, _ in got])
 

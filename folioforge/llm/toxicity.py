@@ -9,7 +9,8 @@ every character skipped, normalised. An inserted character or a gap therefore ke
 Training, on the driver, takes a bounded sample: up to SAMPLE whole documents of each label, the first by a
 hash of doc_id. Labels mark documents, so the words that mark toxic sentences are found first (they stand in
 a share of the toxic documents and hardly in clean ones), the machine is fitted on Nystroem features against landmarks of
-both kinds, the worst word of each toxic document is taken as its witness where it looks toxic, and the fit is repeated. A
+both kinds, the worst word of each toxic document is taken as its witness where it looks toxic, and the fit is repeated. Disguises of
+the marking words, with a letter put in or doubled, are learned with them. A
 logistic curve turns a document's worst margin into the score.
 
 The machine's value of a word is linear in the word's subsequences, so landmarks and weights collapse into one
@@ -119,6 +120,14 @@ def words_of(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np
         yield i, j, codes, starts, ends, text, sentence
 
 
+def _variants(word: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
+    """Disguises to learn as well, of words of five letters or more: a letter put in, and a letter doubled."""
+    if len(word) < 5:
+        return []
+    put = rng.integers(1, len(word), 4)
+    return [np.insert(word, k, rng.integers(1, 27)) for k in put[:3]] + [np.insert(word, put[3], word[put[3]])]
+
+
 class Model:
     def __init__(self, texts: list[str], toxic: list[int], landmarks: int = LANDMARKS):
         self.table, self.bias, self.curve = np.zeros(1 << 18), 0.0, (0.0, -30.0)
@@ -160,9 +169,11 @@ class Model:
         row, sub, weight = features(marks)
         positive = seeds
         for _ in range(ROUNDS):
-            x = np.vstack([kernel([spell[int(names[k])] for k in part], marks) @ root for part in (positive, negative)])
-            y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-            even = np.where(y > 0, 0.5 / len(positive), 0.5 / len(negative))
+            bad_words = [spell[int(names[k])] for k in positive]
+            bad_words += [v for w in bad_words for v in _variants(w, rng)]
+            x = np.vstack([kernel(part, marks) @ root for part in (bad_words, [spell[int(names[k])] for k in negative])])
+            y = np.concatenate([np.ones(len(bad_words)), -np.ones(len(negative))])
+            even = np.where(y > 0, 0.5 / len(bad_words), 0.5 / len(negative))
             w, self.bias = linear.svm(x, y, penalty=20_000.0, rounds=400, weight=even)
             beta = root @ w
             self.table = np.bincount(sub, weight * beta[row], 1 << 18)
