@@ -12,6 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from folioforge.functions import cols
 
+#: The field names of the manifest format.
 IDENTIFIER = "neurostore string, pmid string, doi string, pmcid string, other_ids map<string,string>"
 
 
