@@ -41,6 +41,8 @@ SEED_SHARE = 0.02
 DECAY = 0.5
 SPAN = 5
 THRESHOLD = 0.3
+#: Rows scored at once.
+ROWS = 512
 #: Longer words are read by their overlapping parts of this length.
 PART = 32
 _STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -204,9 +206,9 @@ class Model:
 
     def _margins(self, words: list[np.ndarray]) -> np.ndarray:
         out = []
-        for i in range(0, len(words), 20_000):
-            row, sub, weight = features(words[i : i + 20_000])
-            out.append(np.bincount(row, weight * self.table[sub], len(words[i : i + 20_000])))
+        for i in range(0, len(words), 2_000):
+            row, sub, weight = features(words[i : i + 2_000])
+            out.append(np.bincount(row, weight * self.table[sub], len(words[i : i + 2_000])))
         return np.concatenate(out) + self.bias if out else np.zeros(0)
 
     def margins(self, texts: list[str | None], most: int = 1 << 21) -> np.ndarray:
@@ -245,18 +247,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model([t for _, t, _ in got], [x for _, _, x in got])
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with a column score."""
-    shared_model = docs.sparkSession.sparkContext.broadcast(model)  # a table of 2**18 weights
-    schema = docs.withColumn("score", F.lit(0.0)).schema
+def score_of(spark: SparkSession, text: F.Column, model: Model) -> F.Column:
+    """The score of a text column. Only the texts go to Python, and only scores come back."""
+    shared_model = spark.sparkContext.broadcast(model)  # a table of 2**18 weights
+
+    @F.arrow_udf("double")
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            parts = [shared_model.value.score(column.slice(k, ROWS).to_pylist()) for k in range(0, len(column), ROWS)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            score = pa.array(shared_model.value.score(batch.column(at).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, score], schema.names)
+    return run(text.cast("string"))
 
-    return docs.mapInArrow(run, schema)
+
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with a column score."""
+    return docs.withColumn("score", score_of(docs.sparkSession, F.col("text"), model))
 
 
 def held_out() -> F.Column:
@@ -271,9 +277,7 @@ def fit_on_tables(spark: SparkSession, sf_dir: str) -> Model:
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs, all columns, without the rows that score threshold or more."""
-    names = [f"__tx_{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*("text" if c == "text" else n for c, n in zip(docs.columns, names, strict=True)))
-    return scored(plain, model).filter(F.col("score") < threshold).drop("score").toDF(*docs.columns)
+    return docs.filter(score_of(docs.sparkSession, docs["text"], model) < threshold)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
