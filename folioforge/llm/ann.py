@@ -34,6 +34,9 @@ from folioforge.llm import shared
 EPSILON = 3.0
 BLOCK = 8192
 QUERY_BLOCK = 1024
+#: Queries estimated, and pairs reranked, at once.
+ESTIMATED = 64
+RERANKED = 1 << 14
 CELL_ROWS = 4096
 CELLS = 4096
 SAMPLE = 16_384
@@ -110,13 +113,17 @@ def _search(k: int, centre: np.ndarray, candidates: pa.Table, queries: pa.Table)
         turn = rotation(dim)
         unit = q / np.linalg.norm(q, axis=1, keepdims=True)
         found: list[tuple] = []
-        for i in range(0, len(q), 256):
-            guess, error = estimate(unit[i : i + 256], codes, length, own, centre, turn)
+        q_norm, x_norm = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
+        for i in range(0, len(q), ESTIMATED):
+            guess, error = estimate(unit[i : i + ESTIMATED], codes, length, own, centre, turn)
             low = guess - error
             n = min(k, len(x))
             bar = np.partition(low, len(x) - n, axis=1)[:, len(x) - n]
             row, col = np.nonzero(guess + error >= bar[:, None])
-            exact = np.einsum("ij,ij->i", q[i + row], x[col]) / (np.linalg.norm(q[i + row], axis=1) * np.linalg.norm(x[col], axis=1))
+            exact = np.empty(len(row))
+            for j in range(0, len(row), RERANKED):
+                a, b = i + row[j : j + RERANKED], col[j : j + RERANKED]
+                exact[j : j + RERANKED] = np.einsum("ij,ij->i", q[a], x[b]) / (q_norm[a] * x_norm[b])
             order = np.lexsort((ids[col], -exact, row))
             row, col, exact = row[order], col[order], exact[order]
             rank = np.arange(len(row)) - np.searchsorted(row, row)
