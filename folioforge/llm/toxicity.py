@@ -277,7 +277,8 @@ def fit_on_tables(spark: SparkSession, sf_dir: str) -> Model:
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs, all columns, without the rows that score threshold or more."""
-    return docs.filter(score_of(docs.sparkSession, docs["text"], model) < threshold)
+    names = ["text" if c == "text" else f"__tx_{i}" for i, c in enumerate(docs.columns)]  # a column Text is another one
+    return docs.toDF(*names).filter(score_of(docs.sparkSession, F.col("text"), model) < threshold).toDF(*docs.columns)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,8 +78,6 @@ def test_token_files(spark, odd, tmp_path):
 
 @pytest.mark.parametrize("bits", [1, 7, 13, 16, 17])
 def test_packing(bits):
-    import pyarrow as pa
-
     ids = np.random.default_rng(0).integers(0, 1 << bits, 10_000).astype(np.uint32)
     blob = b"".join(token_pack.shard_bytes(ids, np.arange(2), np.array([0, 5]), bits, block=33 if bits == 13 else 4096))
     shard = token_pack.Shard(pa.BufferReader(blob))
@@ -121,8 +120,6 @@ def test_piece_cache_overflow():
 
 
 def test_reparameterised_question():
-    import pyarrow as pa
-
     index = decontaminate.Index([(7, "Alice, said Bob, walked 12 km to the old market and bought 3 kg of apples while Bob ate 12 pears")])
     same = "x y z. Alice, said Carl, walked 99 miles to the old market and bought 7 kg of apples while Carl ate 99 pears and so on"
     odd = same.replace("while Carl ate 99", "while Dora ate 98")
@@ -183,3 +180,33 @@ def test_windows_stay_inside_documents():
     starts, ends, first = arrays.words(buf, offs)
     assert [bytes(buf[a:b]) for a, b in zip(starts, ends, strict=True)] == [b"a", b"b", b"c", b"d", b"e", b"f"]
     assert arrays.window_starts(first, 3).tolist() == [0, 3]
+
+
+def test_toxicity_filter_keeps_rows_and_columns(spark):
+    clean = [f"plain words about weather number {i}" for i in range(60)]
+    toxic = [c + " gromfutz" for c in clean[:30]]
+    model = toxicity.Model(toxic + clean, [1] * 30 + [0] * 60)
+    rows = [(1, None, "a", 0.5), (2, "", "b", None), (3, "you gromfutz", "c", 0.1), (4, "plain words", None, 0.2), (4, "plain words", None, 0.2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect(), key=str) == sorted((r for r in docs.collect() if r["doc_id"] != 3), key=str)
+    renamed = docs.withColumnRenamed("lang", "Text")
+    assert sorted(r["doc_id"] for r in toxicity.drop_toxic(renamed, model).collect()) == [1, 2, 4, 4]
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1 << 14])
+def test_reranking_in_slices_gives_equal_rows(monkeypatch, pairs):
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(90, 16)), rng.normal(size=(70, 16))
+    centre = np.zeros((1, 16))
+    bits, length, own = ann.encode(x / np.linalg.norm(x, axis=1, keepdims=True), centre, ann.rotation(16))
+    table = pa.table({"cell": pa.array([0] * 90, pa.int32()), "v": pa.array(x.tolist()), "k": pa.array(range(90)), "code": pa.array([b.tobytes() for b in bits]), "length": pa.array(length), "own": pa.array(own)})
+    monkeypatch.setattr(ann, "RERANKED", pairs)
+    got = ann._search(5, centre, table, pa.table({"v": pa.array(q.tolist()), "k": pa.array(range(70))}))
+    cosine = (q @ x.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
+    best = np.argsort(-cosine, axis=1)[:, :5]
+    hits = sum(c in best[a] for a, c in zip(got.column("q").to_pylist(), got.column("c").to_pylist(), strict=True))
+    assert got.num_rows == 350 and hits >= 0.97 * 350
+    for a, c, score in zip(*(got.column(n).to_pylist() for n in ("q", "c", "score")), strict=True):
+        assert abs(score - cosine[a, c]) < 1e-12
