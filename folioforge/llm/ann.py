@@ -5,14 +5,15 @@ rotated at random (one rotation a dimension, fixed by a seed) and kept as one si
 correction scalars: the residual's length and the code's inner product with it. A query's inner product with a
 vector is estimated from its bits and the scalars, with an error bound of EPSILON standard errors. In each
 block, vectors whose upper bound reaches the k-th best lower bound are reranked by exact cosines, in double
-precision, on the original vectors.
+precision, on the original vectors. Every query is estimated against the codes of every cell: cells centre the
+residuals, and none is left out.
 
 Distribution. Equal vectors are one entry that keeps its smallest ids, so a vector that a third of all rows
 share costs one row; the reduction combines before and is salted over the shuffle. Cells are split into
 sub-blocks of BLOCK rows by a hash, and a cell's queries into blocks, so that no task holds more than a block
 pair. Centroids are fitted on a bounded sample (SAMPLE rows, the first by a hash of the vector); every row is
-indexed. The driver and the broadcasts hold centroids and a count a cell, CELLS of each at most.
-A query probes max(MIN_PROBES, PROBE_SHARE of the cells), the nearest first.
+indexed. The driver and the broadcasts hold centroids and a count a cell, CELLS of each at most. Estimates
+grow with queries times vectors.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, as query or
 candidate. Vectors of different length are never compared. Fewer candidates than k give fewer rows; an empty
@@ -40,8 +41,6 @@ RERANKED = 1 << 14
 CELL_ROWS = 4096
 CELLS = 4096
 SAMPLE = 16_384
-MIN_PROBES = 12
-PROBE_SHARE = 0.125
 _SALT = 16
 
 _PAIR = "q long, c long, score double"
@@ -143,7 +142,6 @@ def _in_one_dimension(entries: DataFrame, dim: int, rows: int, k: int) -> DataFr
     n_cells = int(max(1, min(CELLS, rows // CELL_ROWS, len(points))))
     model = spark.sparkContext.broadcast(centroids(points, n_cells))  # CELLS vectors at most
     turn = rotation(dim)
-    probes = int(min(n_cells, max(MIN_PROBES, PROBE_SHARE * n_cells)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,26 +149,23 @@ def _in_one_dimension(entries: DataFrame, dim: int, rows: int, k: int) -> DataFr
                 continue
             x = _matrix(batch.column("v"), dim)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
-            near = x @ model.value.T
-            cell = np.argmax(near, axis=1)
+            cell = np.argmax(x @ model.value.T, axis=1)
             bits, length, own = encode(x, model.value[cell], turn)
-            asks = np.asarray(batch.column("ask"))
-            order = np.argsort(-near, axis=1)[:, :probes].tolist()
-            to = [o if a else [] for o, a in zip(order, asks.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("v"), batch.column("k"), pa.array(cell, pa.int32()), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(length), pa.array(own), pa.array(to, pa.list_(pa.int32()))],
-                ["v", "k", "cell", "code", "length", "own", "to"],
+                [batch.column("v"), batch.column("k"), pa.array(cell, pa.int32()), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(length), pa.array(own), batch.column("ask")],
+                ["v", "k", "cell", "code", "length", "own", "ask"],
             )
 
     kind = entries.schema["v"].dataType.simpleString()
-    coded = shared.materialize(entries.select("v", "k", "ask").mapInArrow(code, f"v {kind}, k long, cell int, code binary, length double, own double, to array<int>"), "codes")
+    coded = shared.materialize(entries.select("v", "k", "ask").mapInArrow(code, f"v {kind}, k long, cell int, code binary, length double, own double, ask boolean"), "codes")
     held = {r["cell"]: r["n"] for r in coded.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # CELLS rows at most
-    asked = {r["cell"]: r["n"] for r in coded.select(F.explode("to").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    asked = coded.filter("ask").count()
     parts = F.element_at(F.array(*(F.lit(1 + held.get(c, 0) // BLOCK) for c in range(n_cells))), F.col("cell") + 1)
-    turns = F.element_at(F.array(*(F.lit(1 + asked.get(c, 0) // QUERY_BLOCK) for c in range(n_cells))), F.col("cell") + 1)
+    turns = F.lit(1 + asked // QUERY_BLOCK)
     numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     candidates = coded.withColumn("part", F.pmod(F.xxhash64("k"), parts).cast("int")).withColumn("turn", numbers(turns))
-    queries = coded.select("v", "k", F.explode("to").alias("cell")).withColumn("turn", F.pmod(F.xxhash64("k"), turns).cast("int")).withColumn("part", numbers(parts))
+    everywhere = F.explode(F.array(*(F.lit(c) for c in sorted(held)))).alias("cell")
+    queries = coded.filter("ask").select("v", "k", everywhere).withColumn("turn", F.pmod(F.xxhash64("k"), turns).cast("int")).withColumn("part", numbers(parts))
 
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         return _search(k + 1, model.value, candidates, queries)

@@ -143,6 +143,16 @@ def test_nearest(spark):
     assert set(got) == {q for q, _ in use if q % 50 == 0}
 
 
+def test_nearest_searches_every_cell(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL_ROWS", 20)  # 100 cells
+    x = np.random.default_rng(5).normal(size=(2000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0, 5).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.argsort(-(unit[::50] @ unit.T), axis=1)[:, 1:6]
+    assert sum((50 * q, int(i)) in got for q, row in enumerate(near) for i in row) >= 0.97 * near.size
+
+
 def held(doc_id, n, k):
     return zlib.crc32(str(doc_id).encode()) % n == k
 
