@@ -129,6 +129,32 @@ def any_key_dedup(batch: DataFrame, keys: Sequence[str], group: str, pos: str =
     return batch.groupBy(group).applyInPandas(fold, batch.schema)
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def any_key_dedup_all(df: DataFrame, keys: Sequence[str], pos: str = "pos") -> DataFrame:
+    """any_key_dedup over all rows as one sequence; pos is unique. No task holds a key's rows or the seen keys.
+
+    In each round a row that is the first undecided one of all its keys is kept, and undecided rows that share a
+    key with it go. The first undecided row always is, so rounds end; they grow with the longest chain of rows
+    in which each row's fate hangs on the one before.
+    """
+    names = F.array(*(F.when(F.col(k) != "", F.struct(F.lit(k).alias("name"), F.col(k).alias("value"))) for k in keys))
+    left = _settled(df.select(F.col(pos).alias("p"), F.explode(F.filter(names, lambda x: x.isNotNull())).alias("key")))
+    gone = None
+    while not left.isEmpty():
+        first = left.groupBy("key").agg(F.min("p").alias("first"))
+        marked = left.join(first, "key")
+        kept = marked.groupBy("p").agg(F.bool_and(F.col("p") == F.col("first")).alias("keep")).filter("keep").select("p")
+        seen = left.join(kept, "p", "left_semi").select("key")  # once each: a key has one first row
+        lost = _settled(left.join(seen, "key", "left_semi").select("p").distinct().join(kept, "p", "left_anti"))
+        gone = lost if gone is None else gone.union(lost)
+        # Both the kept rows and the lost ones hold a seen key.
+        left = _settled(left.join(left.join(seen, "key", "left_semi").select("p").distinct(), "p", "left_anti"))
+    return df if gone is None else df.join(gone.select(F.col("p").alias(pos)), pos, "left_anti").select(df.columns)
+
+
 def batches(df: DataFrame, size: int, group: str, pos: str = "pos") -> DataFrame:
     """Numbers of fixed-size batches inside each group."""
     n = F.row_number().over(Window.partitionBy(group).orderBy(pos))

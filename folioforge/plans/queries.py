@@ -377,8 +377,8 @@ def or_key_match(spark, sf):
 
 @query()
 def any_key_batch_dedup(spark, sf):
-    rows = ids(spark, sf).select("pos", "slug", "pmid", "doi", "pmcid", F.floor(F.col("pos") / 1000).cast("long").alias("batch"))
-    return rel.any_key_dedup(rows, ["slug", "pmid", "doi", "pmcid"], "batch").select("pos", "slug")
+    rows = ids(spark, sf).select("pos", "slug", "pmid", "doi", "pmcid")
+    return rel.any_key_dedup_all(rows, ["slug", "pmid", "doi", "pmcid"]).select("pos", "slug")
 
 
 @query("""WITH r AS (SELECT conv_id, turn, nullif(role, '') AS title, text AS abstract FROM conversations)

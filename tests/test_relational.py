@@ -1,7 +1,9 @@
+import random
+
 from pyspark.sql import functions as F
 
 from folioforge.operators import relational as rel
-from folioforge.plans import stages
+from folioforge.plans import queries, stages
 from folioforge.sources import readers, sinks
 from folioforge.streaming import incremental
 
@@ -33,6 +35,33 @@ def test_any_key_fold_ignores_rejected_rows(spark):
     assert {r.pos for r in rel.any_key_dedup(df, ["slug", "pmid", "doi"], "g").collect()} == {1, 3}
 
 
+def fold(rows, keys):
+    seen, kept = set(), []
+    for r in sorted(rows, key=lambda r: r["pos"]):
+        mine = {(k, r[k]) for k in keys if r[k]}
+        if not mine & seen:
+            kept.append(r["pos"])
+            seen |= mine
+    return kept
+
+
+def test_any_key_dedup_over_all_rows(spark):
+    keys = ["slug", "pmid", "doi", "pmcid"]
+    rng = random.Random(2)
+    some = lambda n: rng.choice([None, "", *map(str, range(n))])
+    rows = [(i, some(400), some(200), some(150), some(300)) for i in range(400)] + [(1000 + i, None, str(1000 + i), str(1001 + i), None) for i in range(4)]
+    rows += [(2000 + i, None, "p" + str(i // 2), "d" + str((i + 1) // 2), None) for i in range(7)]  # a chain
+    df = ids(spark, rows)
+    assert sorted(r.pos for r in rel.any_key_dedup_all(df, keys).collect()) == fold(df.collect(), keys)
+    assert rel.any_key_dedup_all(df.limit(0), keys).count() == 0
+
+
+def test_any_key_query_against_fold(spark):
+    sf = "/root/testdata/sf0.01"
+    want = fold(queries.ids(spark, sf).collect(), ["slug", "pmid", "doi", "pmcid"])
+    assert sorted(r.pos for r in queries.QUERIES["any_key_batch_dedup"](spark, sf).collect()) == want
+
+
 def test_metadata_fold(spark):
     rows = spark.createDataFrame(
         [("s", 0, "", "J", None, None, ["a"], "xx", ["k1"]), ("s", 1, "T", "K", None, False, ["a", "b"], "yy", ["k2", "k1"])],
