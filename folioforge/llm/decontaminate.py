@@ -3,7 +3,8 @@
 Tokens are runs of letters or of digits. Numbers, units after a number, and capitalised tokens inside a
 sentence become typed placeholders (neighbours of one type are one slot); other tokens are literals in lower
 case. Every window of five template tokens with at least three literals is hashed and joined with the
-benchmark's windows. Hits of one document and item that lie on one diagonal are checked slot by slot: a value
+benchmark's windows. A capitalised token at a sentence's start may be a name or not, so a window that holds such
+tokens is hashed once for each reading that leaves two literals. Hits of one document and item that lie on one diagonal are checked slot by slot: a value
 of the item must stand for one value of the document throughout, or the windows with the odd slot don't
 count. A document that holds at least half of an item's windows is contaminated, whether its numbers, names
 and units are the item's own or others.
@@ -64,6 +65,7 @@ class Templates:
         n = len(starts)
         codes = arrays.word_hashes(low, starts, ends) if n else np.zeros(0, np.uint64)
         kinds = np.zeros(n, np.uint8)
+        start = np.zeros(n, bool)
         if n:
             stop = np.isin(buf, np.frombuffer(b".!?\n", np.uint8))
             stops = np.concatenate([[0], np.cumsum(stop)])
@@ -78,6 +80,7 @@ class Templates:
             kinds[number] = _NUMBER
             follows = np.concatenate([[False], number[:-1]]) & ~head[starts]
             kinds[follows & np.isin(codes, _unit_codes())] = _UNIT
+            start = capital & fresh & (big[ends] - big[starts] == 1) & (kinds == _LITERAL)
         first = np.searchsorted(starts, offs)
         same = np.zeros(n, bool)
         if n:
@@ -85,6 +88,7 @@ class Templates:
             same[first[:-1][first[:-1] < n]] = False
         slot = np.flatnonzero(~same)
         self.kinds = kinds[slot]
+        self.fresh = start[slot]  # literals that may be names
         values = arrays.span_hash(codes, slot, np.append(slot[1:], n)) if n else codes
         self.values = values
         self.codes = np.where(self.kinds == _LITERAL, values, _CODES[self.kinds])
@@ -97,6 +101,25 @@ class Templates:
         at = at[literal[at + WINDOW] - literal[at] >= LITERALS]
         return at, arrays.span_hash(self.codes, at, at + WINDOW)
 
+    def readings(self, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """windows(), and once more for each choice of sentence starts read as names that leaves two literals."""
+        bits = np.zeros(len(at), np.uint8)
+        for p in range(WINDOW):
+            bits |= self.fresh[at + p].astype(np.uint8) << p
+        some = np.flatnonzero(bits)
+        spans = at[some, None] + np.arange(WINDOW)
+        literals = (self.kinds[spans] == _LITERAL).sum(axis=1)
+        up, _ = arrays.powers(WINDOW)
+        starts, found = [at], [hashes]
+        for mask in range(1, 1 << WINDOW):
+            read = np.flatnonzero((bits[some] & mask == mask) & (literals - mask.bit_count() >= LITERALS - 1))
+            if len(read):
+                codes = self.codes[spans[read]]
+                codes[:, [p for p in range(WINDOW) if mask >> p & 1]] = _CODES[_NAME]
+                starts.append(at[some[read]])
+                found.append(arrays.mix((codes * up).sum(axis=1, dtype=np.uint64)))
+        return np.concatenate(starts), np.concatenate(found)
+
 
 _units: list[np.ndarray] = []
 
@@ -120,6 +143,8 @@ class Index:
         at, hashes = self.of.windows()
         item = np.searchsorted(self.of.first, at, "right") - 1
         self.total = np.bincount(item, minlength=len(items))
+        at, hashes = self.of.readings(at, hashes)
+        item = np.searchsorted(self.of.first, at, "right") - 1
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.at, self.item = hashes[order], at[order], item[order]
         self.filter = np.zeros(1 << 20, bool)
@@ -130,7 +155,7 @@ class Index:
         buf, offs = arrays.utf8(texts)
         for i, j in arrays.slices(offs):
             part = Templates(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            at, hashes = part.windows()
+            at, hashes = part.readings(*part.windows())
             maybe = self.filter[hashes >> np.uint64(44)]
             at, hashes = at[maybe], hashes[maybe]
             low, high = np.searchsorted(self.hashes, hashes, "left"), np.searchsorted(self.hashes, hashes, "right")
@@ -142,6 +167,9 @@ class Index:
             item, place = self.item[hit], self.at[hit]
             order = np.lexsort((at, at - place, item, row))
             row, item, place, at = row[order], item[order], place[order], at[order]
+            once = np.ones(len(row), bool)  # several readings of one pair of windows may agree
+            once[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1]) | (at[1:] != at[:-1])
+            row, item, place, at = row[once], item[once], place[once], at[once]
             heads = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (item[1:] != item[:-1])]))
             for a, b in zip(heads, [*heads[1:], len(row)], strict=True):
                 if b - a >= COVERAGE * self.total[item[a]]:
@@ -156,11 +184,13 @@ class Index:
         for diagonal in np.unique(step):
             here = place[step == diagonal]
             slots = np.unique((here[:, None] + np.arange(WINDOW)).ravel())
-            slots = slots[self.of.kinds[slots] != _LITERAL]
+            named = slots[self.of.fresh[slots]]
+            named = named[self.of.values[named] != part.values[named + diagonal]]
+            slots = np.concatenate([slots[self.of.kinds[slots] != _LITERAL], named])
             stands: dict[tuple[int, int], int] = {}
             odd = set()
             for s in slots.tolist():
-                key, value = (int(self.of.kinds[s]), int(self.of.values[s])), int(part.values[s + diagonal])
+                key, value = (int(self.of.kinds[s]) or _NAME, int(self.of.values[s])), int(part.values[s + diagonal])
                 own &= key[1] == value
                 if stands.setdefault(key, value) != value:
                     odd.add(s)

@@ -127,6 +127,19 @@ def test_reparameterised_question():
     assert set(found) == {0, 1} and found[0][0] > found[1][0] and not found[0][1]
 
 
+def test_swapped_names_at_sentence_starts():
+    items = [
+        "Sara has 3 dogs. Sara buys 4 cats. Sara sells 2 birds. How many pets does Sara have now?",
+        "Tom reads 12 pages daily. Tom writes 5 pages weekly. Tom prints 40 pages monthly. How many pages are there in a year?",
+    ]
+    index = decontaminate.Index(list(enumerate(items)))
+    swapped = [items[0].replace("Sara", "Maria"), items[1].replace("Tom", "Ben"), "Question: " + items[0].replace("Sara", "Maria")]
+    mixed = "Ann has 3 dogs. Bob buys 4 cats. Cleo sells 2 birds. Which of the towns does Dan like now?"
+    found = {(row, item): (n / index.total[item], own) for row, item, n, own in index.search(pa.array([*swapped, *items, mixed, "Red\nGreen\nBlue\nWhite\nBlack\nBrown\nGrey"]))}
+    assert set(found) == {(0, 0), (1, 1), (2, 0), (3, 0), (4, 1)}
+    assert found[0, 0] == found[1, 1] == (1, False) and found[3, 0] == found[4, 1] == (1, True)
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(0)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 16)))] + [(300, [0.0] * 16), (350, None), (400, [float("nan")] * 16), (None, [1.0] * 16)]
