@@ -12,8 +12,11 @@ and units are the item's own or others.
 The benchmark is taken in blocks of bounded size, each broadcast for one pass over the documents; one block
 is the rule. No document row is shuffled.
 
-Edge cases: null and empty texts hold nothing. Items without a full window (null, or under five tokens) are
-never found. Rows that repeat a doc_id are judged each by itself. A null doc_id stays null.
+Items without any window (under five slots, or of numbers, names and units for the most part) are found where a
+document holds their whole token sequence unchanged, whatever stands between the tokens; re-parameterised they are
+not found.
+
+Edge cases: null and empty texts hold nothing. Items under three tokens are never found. Rows that repeat a doc_id are judged each by itself. A null doc_id stays null.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from folioforge.llm import arrays, shared
 WINDOW = 5
 LITERALS = 3
 COVERAGE = 0.5
+#: Tokens that an item without windows needs.
+EXACT = 3
 #: Characters of benchmark text in a block.
 BLOCK_CHARS = 16 << 20
 #: Units that may follow a number.
@@ -93,6 +98,7 @@ class Templates:
         self.values = values
         self.codes = np.where(self.kinds == _LITERAL, values, _CODES[self.kinds])
         self.first = np.searchsorted(slot, first)
+        self.tokens, self.first_token = codes, first
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of the windows with enough literals."""
@@ -149,12 +155,44 @@ class Index:
         self.hashes, self.at, self.item = hashes[order], at[order], item[order]
         self.filter = np.zeros(1 << 20, bool)
         self.filter[hashes >> np.uint64(44)] = True
+        self._exact()
+
+    def _exact(self) -> None:
+        """Items without windows: by length of an anchor, the largest power of two within the item, sorted by its hash."""
+        start, n = self.of.first_token[:-1], np.diff(self.of.first_token)
+        short = np.flatnonzero((self.total == 0) & (n >= EXACT))
+        self.total[short] = 1  # the item is its one window
+        self.anchors: list[tuple] = []
+        width = np.array([1 << (int(k).bit_length() - 1) for k in n[short]], np.int64)
+        for m in np.unique(width).tolist():
+            item = short[width == m]
+            head = arrays.span_hash(self.of.tokens, start[item], start[item] + m)
+            order = np.argsort(head, kind="stable")
+            item = item[order]
+            self.anchors.append((m, head[order], item, n[item], arrays.span_hash(self.of.tokens, start[item], start[item] + n[item])))
+
+    def _find_exact(self, part: Templates) -> set[tuple[int, int]]:
+        """(row, item) of the items without windows that stand in the texts."""
+        out: set[tuple[int, int]] = set()
+        for m, heads, items, lengths, wholes in self.anchors:
+            at = arrays.window_starts(part.first_token, m)
+            hashes = arrays.span_hash(part.tokens, at, at + m)
+            low, high = np.searchsorted(heads, hashes, "left"), np.searchsorted(heads, hashes, "right")
+            at, hit = np.repeat(at, high - low), arrays.ragged(np.arange(len(heads)), low, high - low)
+            row = np.searchsorted(part.first_token, at, "right") - 1
+            fits = at + lengths[hit] <= part.first_token[row + 1]
+            at, hit, row = at[fits], hit[fits], row[fits]
+            same = arrays.span_hash(part.tokens, at, at + lengths[hit]) == wholes[hit]
+            out.update(zip(row[same].tolist(), items[hit[same]].tolist(), strict=True))
+        return out
 
     def search(self, texts: pa.Array) -> Iterator[tuple[int, int, int, bool]]:
         """(row, item, windows found, whether every slot holds the item's own value), coverage being enough."""
         buf, offs = arrays.utf8(texts)
         for i, j in arrays.slices(offs):
             part = Templates(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            for row, item in self._find_exact(part):
+                yield i + row, item, 1, True
             at, hashes = part.readings(*part.windows())
             maybe = self.filter[hashes >> np.uint64(44)]
             at, hashes = at[maybe], hashes[maybe]

@@ -140,6 +140,13 @@ def test_swapped_names_at_sentence_starts():
     assert found[0, 0] == found[1, 1] == (1, False) and found[3, 0] == found[4, 1] == (1, True)
 
 
+def test_items_without_windows():
+    index = decontaminate.Index([(1, "What is 12 + 7 * 5?"), (2, "What is 2024 - 1997?"), (3, "7 8"), (4, None), (5, "1 2 3 4 5 6 7 8 9")])
+    texts = ["So what is 12 + 7 * 5? Well.", "what is 2024 - 1997?", "What is 12 + 7", "* 5? What is 2024 - 1998?", None, "7 8 1 2 3 4 5 6 7 8 9", "1 2 3 4 5 6 7 8 8"]
+    found = sorted(index.search(pa.array(texts)))
+    assert found == [(0, 0, 1, True), (1, 1, 1, True), (5, 4, 1, True)]
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(0)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 16)))] + [(300, [0.0] * 16), (350, None), (400, [float("nan")] * 16), (None, [1.0] * 16)]
