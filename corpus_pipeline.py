@@ -25,9 +25,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    groups = simhash.near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near-duplicates one row stays: that of the smallest id, a null id first, and one of its repeats."""
+    rows = shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # numbers that stay
+    groups = simhash.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    ids = rows.select("__row", F.col("doc_id").cast("long").alias("id"))
+    first = F.min(F.struct("id", "__row"))["__row"]  # nulls are smallest
+    kept = groups.join(ids, "__row").groupBy("component_id").agg(first.alias("__row")).select("__row")
+    return rows.join(kept, "__row", "left_semi").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

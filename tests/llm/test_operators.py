@@ -38,6 +38,15 @@ def test_simhash(spark, docs):
     assert got == brute.simhash(docs)
 
 
+def test_simhash_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    one, two = "the quick brown fox jumps over the lazy dog " * 3, "an entirely different text about the weather in spring " * 3
+    rows = [(1, one), (1, one), (None, two), (None, two), (5, "a third and lonely text of some words"), (6, one), (5, two), (7, "nothing else is like this one here")]
+    kept = corpus_pipeline.simhash_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted(kept, key=str) == sorted([(1, one), (None, two), (5, rows[4][1]), (7, rows[7][1])], key=str)
+
+
 def test_odd_rows(spark, odd):
     assert substring_dedup.substring_dedup(odd).count() == len(ODD)
     assert simhash.near_duplicates(odd).count() == len(ODD)
