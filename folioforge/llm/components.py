@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = _star(both).filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a < b").distinct()
         down = large.select(F.col("b").alias("u"), F.col("a").alias("v"))
         small = _star(down).select("m", F.explode(F.array("u", "v")).alias("b")).filter("m < b").select(F.col("m").alias("a"), "b").distinct()
-        now = shared.materialize(small, "edges")
+        now = shared.materialize(small, "edges", instead=now)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == state or not seen[0]:
             return now.groupBy("b").agg(F.min("a").alias("a")).select(F.col("b").alias("node"), F.col("a").alias("root")).union(

@@ -10,7 +10,8 @@ a join by hash returns them. A window that a third of the documents hold is comb
 on the join's side its rows are an ordinary skewed key that adaptive execution splits.
 
 Edge cases: a null text has no lines (n_lines 0) and stays null; an empty one has a single empty line. Rows
-that repeat a doc_id and a text count as one occurrence and all get its result. Other columns pass through
+that repeat a doc_id and a text count as one occurrence and all get its result. Where a doc_id repeats with other
+texts, equal windows at equal starts are the same place and neither counts as earlier. Other columns pass through
 untouched; the names that start with __ld_ are reserved.
 """
 
@@ -57,11 +58,10 @@ def line_dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     marked = repeated_windows(docs, width).withColumnsRenamed({"doc_id": "__ld_d", "__ld_t": "__ld_u"})
     keyed = docs.select(*(F.col(f"`{c}`") for c in names), F.xxhash64("text").alias("__ld_t"))
     both = keyed.join(marked, F.col("doc_id").eqNullSafe(F.col("__ld_d")) & (F.col("__ld_t") == F.col("__ld_u")), "left")
-    # A line goes if a later window starts on it or on one of the width - 1 lines before it.
-    covered = " OR ".join(f"array_contains(starts, i - {k})" for k in range(width))
-    cut = both.withColumn("__ld_l", F.split("text", "\n", -1)).withColumn(
-        "__ld_k", F.when(F.col("starts").isNull(), F.col("__ld_l")).otherwise(F.expr(f"filter(__ld_l, (x, i) -> NOT ({covered}))"))
-    )
+    # A line goes if a later window starts on it or on one of the width - 1 lines before it; set difference keeps order.
+    gone = f"flatten(transform(starts, s -> sequence(s, s + {width - 1})))"
+    kept = f"transform(array_except(sequence(0, size(__ld_l) - 1), {gone}), i -> __ld_l[i])"
+    cut = both.withColumn("__ld_l", F.split("text", "\n", -1)).withColumn("__ld_k", F.when(F.col("starts").isNull(), F.col("__ld_l")).otherwise(F.expr(kept)))
     return cut.select(
         *(F.array_join("__ld_k", "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in names),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("__ld_l")).cast("long").alias("n_lines"),

@@ -17,9 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master, as in tests, may go without."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='folioforge-')}"
         spark.sparkContext.setCheckpointDir(path)
         spark.conf.set("spark.checkpoint.dir", path)
@@ -42,8 +44,15 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read back: later steps don't recompute it when an executor is lost."""
+def materialize(df: DataFrame, label: str, instead: DataFrame | None = None) -> DataFrame:
+    """df written to the shared folder and read back: later steps don't recompute it when an executor is lost.
+
+    The files of a table that it takes the place of, made here before, are deleted.
+    """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    if instead is not None:
+        _remove(df.sparkSession, instead._written)
+    return out

@@ -13,7 +13,8 @@ fingerprint rather than all pairs of the group; both ways find every link. Exact
 from the start. Components come from links between fingerprints, never from pairs of documents.
 
 Edge cases: a null, empty or blank text has fingerprint zero and links like any other. A null doc_id counts
-as the smallest id. Rows that repeat a doc_id are separate rows. Other columns are not read.
+as the smallest id. Rows that repeat a doc_id are separate rows. Bytes that aren't UTF-8 are read as U+FFFD. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import components, shared
+from folioforge.llm import arrays, components, shared
 
 SHINGLE = 3
 SEED = 42
@@ -52,7 +53,7 @@ def fingerprint(text: str | None) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
+        prints = np.array([fingerprint(t) for t in arrays.texts(batch.column("text"))], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("d"), pa.array(prints, pa.int64())], ["d", "fp"])
 
 
