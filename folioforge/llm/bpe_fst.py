@@ -11,10 +11,12 @@ the longest token.
 A piece that is itself a token is emitted as that token at once, as the tiktoken library does. Tokens that
 the merges never produce from their own bytes take no part otherwise.
 
-Decoding joins token bytes; text comes out of a UTF-8 state machine that keeps an unfinished character until
-the next ids and gives U+FFFD for what can't be part of one.
+Decoding joins token bytes. Streaming decoding keeps, as its state, the bytes of the character that a chunk
+leaves unfinished, found by a table of lead bytes; what is complete goes through Python's UTF-8 codec, with U+FFFD
+for what can't be part of a character.
 
-Edge cases: a null or empty text has no ids. Rows that repeat are independent. Other columns are not read.
+Edge cases: a null or empty text has no ids. Bytes of a text that aren't UTF-8 are read as U+FFFD. Rows that
+repeat are independent. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -150,13 +152,17 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.content) > self.most:
-            self._reset()
-        state, out, moves = 0, [], self.moves
-        for byte in piece:
-            state, done = moves.get(state << 8 | byte) or self.step(state, byte)
-            if done:
-                out += done
+        state, out = 0, []
+        for at in range(0, len(piece), 256):
+            if len(self.content) > self.most or len(self.moves) > 8 * self.most:  # anew, from the state that is held
+                held = self.content[state]
+                self._reset()
+                state = self._state(*held)
+            moves = self.moves
+            for byte in piece[at : at + 256]:
+                state, done = moves.get(state << 8 | byte) or self.step(state, byte)
+                if done:
+                    out += done
         return [*out, *self.finish(state)]
 
 
@@ -242,7 +248,7 @@ def _coded(own: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.A
     for batch in batches:
         for k in range(0, batch.num_rows, ROWS):
             part = batch.slice(k, ROWS)
-            ids = list(own.encode(part.column("text").to_pylist()))
+            ids = list(own.encode(arrays.texts(part.column("text"))))
             texts = ["".join(own.decode_stream(each[i : i + 65536] for i in range(0, len(each), 65536))) for each in ids]
             yield part.column("doc_id"), ids, texts
 

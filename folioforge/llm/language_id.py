@@ -157,7 +157,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, score = shared_model.value.predict(batch.column("text").to_pylist())
+            names, score = shared_model.value.predict(arrays.texts(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -64,32 +64,41 @@ def piece_starts(chars: np.ndarray, offs: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Ids of pieces, each encoded once and kept, up to a bound; beyond it the cache starts anew.
 
-    A piece is found by two hashes of 64 and 32 bits; one whose second hash differs is encoded on the spot.
+    The pieces of a slice are grouped by hash and compared with their group's first piece, character by character;
+    groups are looked up by the piece itself.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1 << 21):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1 << 19):
         self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.checks = np.zeros(0, np.uint32)
-        self.at = np.zeros(0, np.int64)
-        self.lens = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _add(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
-        if len(self.keys) + len(keys) > self.most:
-            self._clear()
+        self.place: dict[str, int] = {}
+        self.at: list[int] = []
+        self.lens: list[int] = []
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def _add(self, pieces: list[str]) -> None:
         lists = self.encode(pieces)
-        lens = np.fromiter(map(len, lists), np.int64, len(lists))
-        at = len(self.ids) + np.cumsum(lens) - lens
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.uint32)])
-        where = np.searchsorted(self.keys, keys)  # both are sorted
-        self.keys = np.insert(self.keys, where, keys)
-        self.checks = np.insert(self.checks, where, checks)
-        self.at = np.insert(self.at, where, at)
-        self.lens = np.insert(self.lens, where, lens)
+        total = sum(map(len, lists))
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(total, len(self.ids)), np.uint32)])
+        self.ids[self.used : self.used + total] = np.fromiter((i for x in lists for i in x), np.uint32, total)
+        for piece, ids in zip(pieces, lists, strict=True):
+            self.place[piece] = len(self.at)
+            self.at.append(self.used)
+            self.lens.append(len(ids))
+            self.used += len(ids)
+
+    def _places(self, pieces: list[str]) -> list[int]:
+        new = list(dict.fromkeys(p for p in pieces if p not in self.place))
+        if new and len(self.place) + len(new) > self.most:  # anew, with all that this slice needs
+            self._clear()
+            new = list(dict.fromkeys(pieces))
+        if new:
+            self._add(new)
+        return [self.place[p] for p in pieces]
 
     def __call__(self, chars: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, one after another, and the n + 1 places of each document's ids."""
@@ -97,34 +106,25 @@ class PieceCache:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
         ends = np.append(starts[1:], len(chars))
-        codes = arrays.mix(chars.astype(np.uint64) + np.uint64(1))
-        hashes = arrays.span_hash(codes, starts, ends)
-        checks = (arrays.span_hash(codes ^ np.uint64(0x5851F42D4C957F2D), starts, ends) >> np.uint64(32)).astype(np.uint32)
-        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        want = checks[first]
-        known = np.zeros(len(keys), bool)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            known = self.keys[at] == keys
-        if not known.all():
-            if len(self.keys) + int((~known).sum()) > self.most:  # anew, with all that this slice needs
-                self._clear()
-                known[:] = False
-            new = np.flatnonzero(~known)
-            text = [chars[starts[i] : ends[i]].astype("<u4").tobytes().decode("utf-32-le") for i in first[new]]
-            self._add(keys[new], want[new], text)
-        at = np.searchsorted(self.keys, keys)
-        off, lens = self.at[at][inverse], self.lens[at][inverse]
-        wrong = np.flatnonzero(checks != self.checks[at][inverse])
-        ids = arrays.ragged(self.ids, off, lens)
-        if len(wrong):  # two pieces with one hash
-            parts = np.split(ids, np.cumsum(lens)[:-1])
-            for i in wrong:
-                parts[i] = np.array(self.encode([chars[starts[i] : ends[i]].astype("<u4").tobytes().decode("utf-32-le")])[0], np.uint32)
-            lens = np.array([len(p) for p in parts])
-            ids = np.concatenate(parts)
+        _, first, group = np.unique(arrays.span_hash(chars, starts, ends), return_index=True, return_inverse=True)
+        odd = self._differ(chars, starts, ends, first[group])
+        if len(odd):  # two pieces with one hash: each is a group of its own
+            group[odd] = len(first) + np.arange(len(odd))
+            first = np.concatenate([first, odd])
+        text = chars.astype("<u4").tobytes().decode("utf-32-le")
+        places = np.array(self._places([text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]))
+        off, lens = (np.fromiter((x[i] for i in places), np.int64, len(places))[group] for x in (self.at, self.lens))
         total = np.concatenate([[0], np.cumsum(lens)])
-        return ids, total[np.searchsorted(starts, offs)]
+        return arrays.ragged(self.ids, off, lens), total[np.searchsorted(starts, offs)]
+
+    @staticmethod
+    def _differ(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """The pieces that aren't the piece numbered in of."""
+        lens = ends - starts
+        bad = lens != ends[of] - starts[of]
+        shift = np.where(bad, 0, starts[of] - starts)
+        same = chars == chars[np.arange(len(chars)) + np.repeat(shift, lens)]  # the pieces cover chars
+        return np.flatnonzero(bad | (np.add.reduceat(~same, starts) > 0))
 
 
 def texts_as_chars(texts: list[str | None], limit: int = arrays.SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -50,7 +50,7 @@ def terms(column: pa.Array) -> np.ndarray:
         if len(part) > 2:
             gram = ((((code[:-2] * np.uint32(65599)) ^ code[1:-1]) * np.uint32(65599)) ^ code[2:]) * np.uint32(2654435761) >> np.uint32(21)
         starts, ends, first = arrays.words(part, at)
-        hashes = arrays.word_hashes(part, starts, ends)
+        hashes, _ = arrays.word_hashes(part, starts, ends)
         upper = np.concatenate([[0], np.cumsum((part >= 65) & (part <= 90))])
         ups = upper[ends] - upper[starts]
         final = part[ends - 1] if len(ends) else part[:0]

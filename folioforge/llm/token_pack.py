@@ -6,13 +6,15 @@ Every block starts at a byte. unpack() reads any range of ids from the blocks th
 
 Texts are encoded by the tokenizers library, each distinct piece of the pre-tokeniser once a worker (the
 library's own split is the pattern of pretoken); a text that holds a special token's string goes to the
-library whole. An end id closes each document. Shards are ranges of doc_id; each is written once by one task
-under a name of its own attempt, and the manifest that Spark commits names those that count, so a lost
-executor leaves no half shard behind. The driver holds one manifest row a shard.
+library whole. An end id closes each document. Shards are ranges of doc_id of SHARD_IDS ids or a document more, so
+that a task holds no more than one; each is written once, under a name of its own attempt, and the manifest that Spark commits
+names those that count, so a lost executor leaves no half shard behind. The driver holds one manifest row a
+shard. Paths are those of pyarrow's file systems; s3a and s3n mean s3.
 
 Edge cases: a null text is empty and gives only the end id. A null doc_id is the smallest one; rows that
-repeat a doc_id are separate documents, in the order of their text's hash. Other columns are not read. An
-empty table gives no shards.
+repeat a doc_id are separate documents, in the order of their text's hash. Bytes that aren't UTF-8 are read as
+U+FFFD. Other columns are not read. An empty table gives no shards. An id that needs more bits than the vocabulary's
+is an error.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +37,16 @@ from folioforge.llm import arrays, pretoken, shared
 MAGIC = b"FFPACK01"
 BLOCK_IDS = 4096
 END_ID = 0
+#: Ids after which a shard ends.
+SHARD_IDS = 1 << 23
 _HEAD = struct.Struct("<8sIIQQQ")
 _NULL_ID = -(1 << 63)
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """ids in so many bits each, the lowest bit first."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"an id needs more than {bits} bits")
     if bits in (8, 16, 32):
         return ids.astype(f"<u{bits // 8}").tobytes()
     each = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits]
@@ -128,37 +135,44 @@ def encode_texts(spec: str, texts: list[str | None]) -> Iterator[np.ndarray]:
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    return pafs.FileSystem.from_uri("s3" + colon + rest if scheme in ("s3a", "s3n") else path)
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = END_ID) -> DataFrame:
-    """Writes docs (doc_id, text) under path; returns the committed manifest, a row a shard."""
+def write_shards(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
+    """Writes docs (doc_id, text) under path, ids below vocabulary; returns the committed manifest, a row a shard."""
     bits = max(1, (vocabulary - 1).bit_length())
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer)  # a vocabulary file: a few MB
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[np.ndarray] = []
-        docs_: list[np.ndarray] = []
-        lens: list[int] = []
-        for batch in batches:
-            docs_.append(np.asarray(batch.column("d")))
-            for each in encode_texts(spec.value, batch.column("text").to_pylist()):
-                ids.append(np.append(each, np.uint32(end_id)).astype(np.uint16 if bits <= 16 else np.uint32))
-                lens.append(len(each) + 1)
-        if not lens:
-            return
+    def store_shard(ids: list[np.ndarray], doc_ids: list[int], number: int) -> pa.RecordBatch:
         store, folder = _store(path)
         store.create_dir(f"{folder}/shards", recursive=True)
         name = f"shards/{uuid.uuid4().hex}.pack"
-        doc_ids = np.concatenate(docs_)
+        lens = np.array([len(x) for x in ids])
         with store.open_output_stream(f"{folder}/{name}") as out:
-            for part in shard_bytes(np.concatenate(ids), doc_ids, np.cumsum(lens) - lens, bits):
+            for part in shard_bytes(np.concatenate(ids), np.array(doc_ids, np.int64), np.cumsum(lens) - lens, bits):
                 out.write(part)
-        yield pa.RecordBatch.from_pydict({"name": [name], "first_doc": [int(doc_ids[0])], "order": [int(doc_ids[-1])], "docs": [len(lens)], "ids": [int(sum(lens))]})
+        columns = {"name": name, "first_doc": doc_ids[0], "last_doc": doc_ids[-1], "part": TaskContext.get().partitionId(), "number": number, "docs": len(lens), "ids": int(lens.sum())}
+        return pa.RecordBatch.from_pydict({k: [v] for k, v in columns.items()})
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[np.ndarray] = []
+        doc_ids: list[int] = []
+        held = number = 0
+        for batch in batches:
+            for d, each in zip(batch.column("d").to_pylist(), encode_texts(spec.value, arrays.texts(batch.column("text"))), strict=True):
+                ids.append(np.append(each, np.uint32(end_id)))
+                doc_ids.append(d)
+                held += len(each) + 1
+                if held >= shard_ids:
+                    yield store_shard(ids, doc_ids, number)
+                    ids, doc_ids, held, number = [], [], 0, number + 1
+        if ids:
+            yield store_shard(ids, doc_ids, number)
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("d"), F.col("text").cast("string").alias("text"))
     ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("d", "h").sortWithinPartitions("d", "h").select("d", "text")
-    manifest = ordered.mapInArrow(write, "name string, first_doc long, order long, docs long, ids long")
+    manifest = ordered.mapInArrow(write, "name string, first_doc long, last_doc long, part long, number long, docs long, ids long")
     manifest.write.parquet(f"{path}/manifest")
     return docs.sparkSession.read.parquet(f"{path}/manifest")
 
@@ -178,7 +192,7 @@ def _documents(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[p
 
 
 def _read(spark: SparkSession, path: str, pack, schema: str) -> DataFrame:
-    shards = spark.read.parquet(f"{path}/manifest").orderBy("first_doc", "order").collect()  # a row a shard
+    shards = spark.read.parquet(f"{path}/manifest").orderBy("first_doc", "last_doc", "part", "number").collect()  # a row a shard
     starts = np.cumsum([0, *(s["ids"] for s in shards)])
     rows = [(s["name"], int(b)) for s, b in zip(shards, starts, strict=False)]
     if not rows:
@@ -215,5 +229,6 @@ def op3_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         spec = file.read()
     path = shared.new_path(spark, "token-pack")
-    write_shards(shared.table(spark, sf_dir, "documents").select("doc_id", "text"), path, spec, Tokenizer.from_str(spec).get_vocab_size())
+    largest = max(Tokenizer.from_str(spec).get_vocab(with_added_tokens=True).values())
+    write_shards(shared.table(spark, sf_dir, "documents").select("doc_id", "text"), path, spec, largest + 1)
     return read_digest(spark, path)

@@ -254,7 +254,7 @@ def score_of(spark: SparkSession, text: F.Column, model: Model) -> F.Column:
     @F.arrow_udf("double")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            parts = [shared_model.value.score(column.slice(k, ROWS).to_pylist()) for k in range(0, len(column), ROWS)]
+            parts = [shared_model.value.score(arrays.texts(column.slice(k, ROWS))) for k in range(0, len(column), ROWS)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return run(text.cast("string"))

@@ -27,11 +27,37 @@ def odd(spark):
 
 def test_substring_dedup(spark, docs):
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for sizes in ({}, {"chunk_bytes": 20_000, "range_windows": 2000}):
+    for sizes in ({}, {"chunk_bytes": 20_000, "range_windows": 2000}, {"chunk_bytes": 20_000, "range_windows": 2000, "salt_chunks": 3}):
         got = {r.doc_id: (r.n_words, r.n_removed, r.h) for r in substring_dedup.substring_dedup(df, **sizes).withColumn("h", F.sha2("text", 256)).collect()}
         assert got == brute.substring_dedup(docs)
 
 
+def apart(n):
+    """Two different words of n letters that agree under any polynomial hash modulo 2**64."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_crafted_words_in_windows(spark, n):
+    a, b = apart(n)
+    words = [f"w{i}" for i in range(19)]
+    rows = [(1, " ".join([*words, a])), (2, " ".join([*words, b])), (3, " ".join([*words, a]))]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (20, 0), 2: (20, 0), 3: (20, 20)}
+
+
+def test_window_in_all_chunks(spark):
+    hot = " ".join(f"licence{i}" for i in range(25))
+    rows = [(i, f"own{i} text{i} " * 30 + hot + f" tail{i}") for i in range(400)]
+    rows += [(None, f"null{i} " + hot) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = substring_dedup.substring_dedup(df, chunk_bytes=1000, range_windows=2000, salt_chunks=8).collect()
+    assert len(out) == len(rows)
+    assert {r.n_removed for r in out if r.doc_id is None} == {0}  # the same, first place
+    assert {r.n_removed for r in out if r.doc_id is not None} == {58 + 25}
+
+
 def test_simhash(spark, docs):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: (f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in simhash.near_duplicates(df).collect()}
@@ -81,10 +107,69 @@ def test_token_files(spark, odd, tmp_path):
         assert r.start == at and r.ids == [*model.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 0]
         at += len(r.ids)
     assert [r.doc_id for r in rows] == sorted((d for d, _ in ODD), key=lambda d: -1 if d is None else d)
+    token_pack.write_shards(odd, f"file://{tmp_path}/c", spec, 50257, shard_ids=5)
+    assert len(token_pack.read_shards(spark, f"file://{tmp_path}/c").select("doc_id", "start", "ids").exceptAll(token_pack.read_shards(spark, f"file://{tmp_path}/a")).collect()) == 0
+    assert spark.read.parquet(f"file://{tmp_path}/c/manifest").count() > spark.read.parquet(f"file://{tmp_path}/a/manifest").count()
     token_pack.write_shards(odd.limit(0), f"file://{tmp_path}/b", spec, 50257)
     assert token_pack.read_digest(spark, f"file://{tmp_path}/b").count() == 0
 
 
+def test_ids_that_do_not_fit():
+    with pytest.raises(ValueError):
+        token_pack.pack(np.array([1, 300], np.uint32), 8)
+
+
+def test_documents_against_the_libraries(spark, tmp_path):
+    """The first 300 documents by length and the longest one, and crafted words, against both libraries."""
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    docs = sorted(((r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()), key=lambda r: (len(r[1]), r[0]))
+    docs = [*docs[:300], docs[-1], *((10**6 + i, f"x {w} y") for i, w in enumerate((*apart(1024), *apart(2048))))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    ranks = bpe_fst.parse_ranks(bpe_fst.rank_file())
+    want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = dict(docs)
+    for r in bpe_fst.digest(df, bpe_fst.rank_file()).collect():
+        ids = want.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = file.read()
+    model = Tokenizer.from_str(spec)
+    token_pack.write_shards(df, f"file://{tmp_path}/d", spec, 50257)
+    for r in token_pack.read_shards(spark, f"file://{tmp_path}/d").collect():
+        assert r.ids == [*model.encode(texts[r.doc_id], add_special_tokens=False).ids, 0]
+
+
+def test_long_piece_keeps_states_bounded():
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bpe_fst.parse_ranks(bpe_fst.rank_file())
+    want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    machine = bpe_fst.Transducer(ranks, most_states=300)
+    rng = random.Random(4)
+    piece = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    assert machine.encode(piece.encode()) == want.encode_ordinary(piece)
+    assert len(machine.content) <= 300 + 256
+
+
+def test_many_repeated_lines_in_one_document(spark):
+    import time
+
+    rows = [(1, "a\nb\nc"), (2, "\n".join(["a", "b", "c"] * 13_334)), (3, "x\na\nb\nc\ny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    line_dedup.line_dedup(df.limit(1)).collect()
+    began = time.time()
+    got = {r.doc_id: (r.n_removed, r.text) for r in line_dedup.line_dedup(df).collect()}
+    assert got == {1: (0, "a\nb\nc"), 2: (40_002, ""), 3: (3, "x\ny")}
+    assert time.time() - began < 10
+
+
 @pytest.mark.parametrize("bits", [1, 7, 13, 16, 17])
 def test_packing(bits):
     ids = np.random.default_rng(0).integers(0, 1 << bits, 10_000).astype(np.uint32)
@@ -94,6 +179,15 @@ def test_packing(bits):
         assert (shard.read(a, b) == ids[a:b]).all()
 
 
+def test_text_that_is_not_utf8(spark):
+    bad = spark.sql("SELECT 1L AS doc_id, CAST(X'61ff2062c3' AS STRING) AS text")
+    text = b"a\xff b\xc3".decode("utf-8", "replace")
+    good = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    for f in (simhash.near_duplicates, substring_dedup.substring_dedup, lambda d: bpe_fst.digest(d, bpe_fst.rank_file())):
+        assert f(bad).collect() == f(good).collect()
+    assert toxicity.scored(bad, toxicity.Model([], [])).count() == 1
+
+
 def test_transducer_against_tiktoken():
     import public_tokenizers
     import tiktoken
@@ -128,34 +222,6 @@ def test_piece_cache_overflow():
             assert ids.tolist() == [len(p) + (i > 0) for i, p in enumerate(texts[0].split())] and first.tolist() == [0, 3]
 
 
-def test_reparameterised_question():
-    index = decontaminate.Index([(7, "Alice, said Bob, walked 12 km to the old market and bought 3 kg of apples while Bob ate 12 pears")])
-    same = "x y z. Alice, said Carl, walked 99 miles to the old market and bought 7 kg of apples while Carl ate 99 pears and so on"
-    odd = same.replace("while Carl ate 99", "while Dora ate 98")
-    found = {row: (n, own) for row, _, n, own in index.search(pa.array([same, odd, None, "clean text without any of it"]))}
-    assert set(found) == {0, 1} and found[0][0] > found[1][0] and not found[0][1]
-
-
-def test_swapped_names_at_sentence_starts():
-    items = [
-        "Sara has 3 dogs. Sara buys 4 cats. Sara sells 2 birds. How many pets does Sara have now?",
-        "Tom reads 12 pages daily. Tom writes 5 pages weekly. Tom prints 40 pages monthly. How many pages are there in a year?",
-    ]
-    index = decontaminate.Index(list(enumerate(items)))
-    swapped = [items[0].replace("Sara", "Maria"), items[1].replace("Tom", "Ben"), "Question: " + items[0].replace("Sara", "Maria")]
-    mixed = "Ann has 3 dogs. Bob buys 4 cats. Cleo sells 2 birds. Which of the towns does Dan like now?"
-    found = {(row, item): (n / index.total[item], own) for row, item, n, own in index.search(pa.array([*swapped, *items, mixed, "Red\nGreen\nBlue\nWhite\nBlack\nBrown\nGrey"]))}
-    assert set(found) == {(0, 0), (1, 1), (2, 0), (3, 0), (4, 1)}
-    assert found[0, 0] == found[1, 1] == (1, False) and found[3, 0] == found[4, 1] == (1, True)
-
-
-def test_items_without_windows():
-    index = decontaminate.Index([(1, "What is 12 + 7 * 5?"), (2, "What is 2024 - 1997?"), (3, "7 8"), (4, None), (5, "1 2 3 4 5 6 7 8 9")])
-    texts = ["So what is 12 + 7 * 5? Well.", "what is 2024 - 1997?", "What is 12 + 7", "* 5? What is 2024 - 1998?", None, "7 8 1 2 3 4 5 6 7 8 9", "1 2 3 4 5 6 7 8 8"]
-    found = sorted(index.search(pa.array(texts)))
-    assert found == [(0, 0, 1, True), (1, 1, 1, True), (5, 4, 1, True)]
-
-
 def test_nearest(spark):
     rng = np.random.default_rng(0)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 16)))] + [(300, [0.0] * 16), (350, None), (400, [float("nan")] * 16), (None, [1.0] * 16)]
