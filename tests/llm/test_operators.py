@@ -238,14 +238,45 @@ def test_nearest(spark):
     assert set(got) == {q for q, _ in use if q % 50 == 0}
 
 
-def test_nearest_searches_every_cell(spark, monkeypatch):
-    monkeypatch.setattr(ann, "CELL_ROWS", 20)  # 100 cells
-    x = np.random.default_rng(5).normal(size=(2000, 32))
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+@pytest.mark.parametrize("isotropic", [True, False])
+def test_recall_with_many_centroids(spark, monkeypatch, isotropic):
+    """20,000 vectors, 256 centroids, blocks of queries: no cell is left out, whatever the vectors look like."""
+    monkeypatch.setattr(ann, "QUERY_BYTES", 1 << 16)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20_000, 32))
+    if not isotropic:
+        x += 3 * rng.normal(size=(100, 32))[rng.integers(0, 100, len(x))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").repartition(4)
     got = {(r.query_id, r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0, 5).collect()}
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     near = np.argsort(-(unit[::50] @ unit.T), axis=1)[:, 1:6]
-    assert sum((50 * q, int(i)) in got for q, row in enumerate(near) for i in row) >= 0.97 * near.size
+    assert len(got) == near.size
+    assert sum((50 * q, int(i)) in got for q, row in enumerate(near) for i in row) >= 0.99 * near.size
+
+
+def test_bounds_leave_most_vectors_out(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 128))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = np.zeros((1, 128))
+    bits, length, own = ann.encode(unit, centre, ann.rotation(128))
+    seen = []
+    plain = ann.Nearest._exact
+    monkeypatch.setattr(ann.Nearest, "_exact", lambda self, row, *rest: seen.append(len(row)) or plain(self, row, *rest))
+    near = ann.Nearest(np.arange(-64, 0), rng.normal(size=(64, 128)), centre, 5)
+    for i in range(0, 20_000, 5_000):
+        part = slice(i, i + 5_000)
+        near.add(np.arange(i, i + 5_000), x[part], np.zeros(5_000, int), bits[part], length[part], own[part])
+    assert sum(seen) < 0.3 * 64 * 20_000
+
+
+def test_nearest_edges(spark):
+    rows = [(0, [1.0, 0.0], "x"), (0, [0.0, 1.0], "y"), (50, [1.0, 1.0], "z"), (50, [1.0, 1.0], "z"), (3, [1.0, 1.0], None), (2, [1.0, 1.0], "z"), (100, [1.0], "short"), (7, [2.0, 2.0], "w")]
+    df = spark.createDataFrame(rows, "id long, v array<float>, score string").withColumn("rank", F.lit("clash"))
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 6)) for r in ann.nearest(df, F.col("id") % 50 == 0, 3).collect())
+    half = round(0.5**0.5, 6)
+    assert got == sorted([(0, i + 1, v, half) for i, v in enumerate((2, 3, 7))] * 2 + [(50, 1, 2, 1.0), (50, 2, 3, 1.0), (50, 3, 7, 1.0)])
+    assert ann.nearest(df.limit(0), F.col("id") % 50 == 0, 3).count() == 0
 
 
 def held(doc_id, n, k):
@@ -306,12 +337,14 @@ def test_reranking_in_slices_gives_equal_rows(monkeypatch, pairs):
     x, q = rng.normal(size=(90, 16)), rng.normal(size=(70, 16))
     centre = np.zeros((1, 16))
     bits, length, own = ann.encode(x / np.linalg.norm(x, axis=1, keepdims=True), centre, ann.rotation(16))
-    table = pa.table({"cell": pa.array([0] * 90, pa.int32()), "v": pa.array(x.tolist()), "k": pa.array(range(90)), "code": pa.array([b.tobytes() for b in bits]), "length": pa.array(length), "own": pa.array(own)})
     monkeypatch.setattr(ann, "RERANKED", pairs)
-    got = ann._search(5, centre, table, pa.table({"v": pa.array(q.tolist()), "k": pa.array(range(70))}))
+    near = ann.Nearest(np.arange(-70, 0), q, centre, 5)
+    for a, b in ((0, 40), (40, 90)):
+        near.add(np.arange(a, b), x[a:b], np.zeros(b - a, int), bits[a:b], length[a:b], own[a:b])
+    rows = near.rows(0)
     cosine = (q @ x.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
     best = np.argsort(-cosine, axis=1)[:, :5]
-    hits = sum(c in best[a] for a, c in zip(got.column("q").to_pylist(), got.column("c").to_pylist(), strict=True))
-    assert got.num_rows == 350 and hits >= 0.97 * 350
-    for a, c, score in zip(*(got.column(n).to_pylist() for n in ("q", "c", "score")), strict=True):
+    hits = sum(c in best[a] for a, c in zip(rows.column("q").to_pylist(), rows.column("c").to_pylist(), strict=True))
+    assert rows.num_rows == 350 and hits >= 0.97 * 350
+    for a, c, score in zip(*(rows.column(n).to_pylist() for n in ("q", "c", "score")), strict=True):
         assert abs(score - cosine[a, c]) < 1e-12
