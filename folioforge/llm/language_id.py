@@ -3,7 +3,7 @@
 Features are hashed character n-grams (1 to 3) of the lower-cased text, in which every run of other characters
 than letters is a space; a document's vector holds each bucket's share of its n-grams. Families are told
 apart by one-versus-one machines too. The models are fitted on the driver on a bounded sample: up to
-SAMPLE whole documents of each language, the first by a hash of doc_id. Scoring reads n-grams once, with one
+SAMPLE whole documents of each language, the first by a hash of doc_id, of which tasks send the vectors. Scoring reads n-grams once, with one
 weight table for all machines, and is a narrow step without a shuffle.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0, as is everything if nothing could be
@@ -77,12 +77,27 @@ def vectors(texts: list[str | None]) -> np.ndarray:
     return out
 
 
+def sparse(texts: list[str | None]) -> list[bytes]:
+    """The vector of each text as its buckets (u16) and their shares (f32)."""
+    out = []
+    for row in (vectors(texts[i : i + 256]) for i in range(0, len(texts), 256)):
+        for x in row:
+            held = np.flatnonzero(x)
+            out.append(held.astype(np.uint16).tobytes() + x[held].tobytes())
+    return out
+
+
 class Model:
     """Machines (group a, group b) for families and, inside each, for languages; all weights in one table."""
 
-    def __init__(self, texts: list[str], langs: list[str]):
-        x = vectors(texts)
-        scale = (1 / (x.std(axis=0) + 1e-4) / np.sqrt(BUCKETS)).astype(np.float32)
+    def __init__(self, rows: list[bytes], langs: list[str]):
+        """rows are vectors as sparse() gives them."""
+        x = np.zeros((len(rows), BUCKETS), np.float32)
+        for k, row in enumerate(rows):
+            n = len(row) // 6
+            x[k, np.frombuffer(row, np.uint16, n)] = np.frombuffer(row[2 * n :], np.float32)
+        spread = x.std(axis=0) if len(x) else np.ones(BUCKETS)
+        scale = (1 / (spread + 1e-4) / np.sqrt(BUCKETS)).astype(np.float32)
         x *= scale
         lang = np.array(langs)
         family = np.array([_FAMILY.get(c, c) for c in langs])
@@ -146,9 +161,16 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     low = rows.join(F.broadcast(share), "lang").filter("u < top")  # a row a language
     first = low.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id"))).filter(F.col("r") <= sample)
     chosen = F.broadcast(first.select("doc_id").distinct())  # sample ids a language at most
-    got = docs.filter("text IS NOT NULL AND lang IS NOT NULL").join(chosen, "doc_id").select("text", "lang").collect()  # bounded by the sample
-    got = sorted((r["lang"], r["text"]) for r in got)
-    return Model([t for _, t in got], [c for c, _ in got])
+    texts = docs.filter("text IS NOT NULL AND lang IS NOT NULL").join(chosen, "doc_id").select("lang", F.col("text").cast("string").alias("text"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(sparse(arrays.texts(part.column("text"))), pa.binary())], ["lang", "x"])
+
+    got = sorted((r["lang"], bytes(r["x"])) for r in texts.mapInArrow(read, "lang string, x binary").collect())  # the sample, BUCKETS numbers a row at most
+    return Model([x for _, x in got], [c for c, _ in got])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -7,7 +7,8 @@ gives latent vectors. Every document's vector is compared with all labelled ones
 block of documents at a time, and its NEIGHBOURS nearest vote with their label by similarity.
 
 The labelled vectors are broadcast; their number is bounded: up to SAMPLE of each label, the first by a hash of
-doc_id. Scoring is a narrow step without a shuffle. Whole texts are read.
+doc_id. Tasks send the sample's terms to the driver, TERMS numbers a document, and no text. Scoring is a narrow
+step without a shuffle. Whole texts are read.
 
 Edge cases: a null or empty text has no terms; its score is the labels' share in the sample, as it is where
 nothing is similar. Without any label every score is 0.5. Null labels and ids are not used; of repeated labels
@@ -59,6 +60,7 @@ def terms(column: pa.Array) -> np.ndarray:
         double = symbol & (second == final)
         again = np.zeros(len(starts), bool)
         again[1:] = hashes[1:] == hashes[:-1]
+        again[first[:-1][first[:-1] < len(starts)]] = False  # the word before is another text's
         many = np.minimum(ups, 2)
         shape = _TRIGRAMS + (many * 16 + again * 8 + double * 4 + symbol * 2 + (ends - starts > 3)).astype(np.int64)
         for k in range(i, j):
@@ -77,12 +79,12 @@ def terms(column: pa.Array) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, texts: list[str | None], quality: list[int]):
+    def __init__(self, x: np.ndarray, quality: list[int]):
+        """x has the terms of each labelled text, a row each."""
         self.label = np.array(quality, np.float32)
         self.share = float(self.label.mean()) if quality else 0.5
         if not quality:
             return
-        x = terms(pa.array(texts, pa.large_string()))
         self.rarity = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 0.2
         x = self._weighted(x)
         size = min(TOPICS, *x.shape)
@@ -129,14 +131,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = known.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
     top = [rows.filter(F.col("quality") == k).orderBy("h", "doc_id").limit(sample) for k in (0, 1)]  # each task keeps its own first
     chosen = top[0].union(top[1])
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id").filter("text IS NOT NULL").select("doc_id", "text", "quality").collect()
-    got = sorted({r["doc_id"]: (r["doc_id"], r["text"], r["quality"]) for r in sorted(got)}.values())
-    return Model([t for _, t, _ in got], [x for _, _, x in got])
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id").filter("text IS NOT NULL")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(i, BLOCK)
+                rows = pa.array([x.tobytes() for x in terms(part.column("text"))], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), rows], ["doc_id", "quality", "x"])
+
+    got = texts.select("doc_id", F.col("quality").cast("int"), "text").mapInArrow(read, "doc_id long, quality int, x binary").collect()  # 2 * SAMPLE rows of TERMS numbers
+    got = sorted({r["doc_id"]: (r["doc_id"], r["x"], r["quality"]) for r in sorted(got)}.values())
+    x = np.frombuffer(b"".join(b for _, b, _ in got), np.float32).reshape(-1, TERMS)
+    return Model(x, [y for _, _, y in got])
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
-    docs = shared.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = shared.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = fit(docs, shared.table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held))
     shared_model = spark.sparkContext.broadcast(model)  # 2 * SAMPLE vectors and the topics
 

@@ -298,7 +298,7 @@ def test_quality_held_out(spark):
     rows = quality.op5_quality(spark, sf).collect()
     out = [labels[r.doc_id] == r.predicted for r in rows if r.held_out and r.doc_id in labels]
     assert np.mean(out) > 0.95
-    assert quality.Model([], []).score(__import__("pyarrow").array(["a", None])).tolist() == [0.5, 0.5]
+    assert quality.Model(quality.terms(pa.array([], pa.string())), []).score(pa.array(["a", None])).tolist() == [0.5, 0.5]
 
 
 def test_toxicity_learns_and_tolerates_gaps():
@@ -311,6 +311,135 @@ def test_toxicity_learns_and_tolerates_gaps():
     assert (score[:4] > 0.3).all() and (score[4:] < 0.3).all()
 
 
+@pytest.fixture(scope="module")
+def toxic_model():
+    rng = random.Random(0)
+    word = lambda: "".join(rng.choice(["ba", "ne", "ti", "or", "al", "su"]) for _ in range(rng.randint(1, 4)))
+    clean = [". ".join(" ".join(word() for _ in range(12)) for _ in range(5)) for _ in range(300)]
+    toxic = [c + " " + rng.choice(["zwickelkopf", "gromfutz"]) + " " + word() for c in clean[:150]]
+    return toxicity.Model(toxic + clean[150:], [1] * 150 + [0] * 150)
+
+
+def test_toxicity_of_a_text_is_its_own(toxic_model):
+    texts = ["g r o m f u t z", "a nice day", "b a", "i. g", None, "", "z w", "ba ne zwickelkopf ti", "x", "gro mfu tz", "w" * 100 + " gromfutz", "é É gromfutz"] * 3
+    alone = [toxic_model.score([t])[0] for t in texts]
+    assert toxic_model.score(texts).tolist() == alone
+    for order in ([*range(len(texts))][::-1], random.Random(1).sample(range(len(texts)), len(texts))):
+        assert toxic_model.score([texts[k] for k in order]).tolist() == [alone[k] for k in order]
+    assert alone[0] > 0.9 and alone[1] < 0.3
+
+
+def test_segments_stay_inside_sentences(toxic_model):
+    assert toxic_model.score(["ba grom futz ti"])[0] >= 0.3
+    texts = ["Ba grom futz, abc.", "grom. Futz x", "i d i\no t a b c", "k", "l m n o p", "i.d.i.o.t", "w" * 70]
+    found = {}
+    for i, _, codes, starts, ends, text, _, joined in toxicity.segments_of(texts):
+        for a, b, t, pair in zip(starts, ends, text, joined, strict=True):
+            found.setdefault(i + int(t), []).append(("".join(chr(96 + c) for c in codes[a:b]), bool(pair)))
+    plain = lambda *names: [(n, False) for n in names]
+    assert found[0] == plain("ba", "grom", "futz", "abc") + [("bagrom", True), ("gromfutz", True), ("futzabc", True)]
+    assert found[1] == plain("grom", "futz", "x") + [("futzx", True)]
+    assert found[2] == plain("i", "d", "i", "o", "t", "a", "b", "c", "otabc") and found[3] == plain("k")
+    assert found[4] == plain("l", "m", "n", "o", "p", "lmnop") and found[5] == plain("idiot")
+    assert found[6] == plain("w" * 32, "w" * 32, "w" * 32, "w" * 22)
+
+
+def test_toxicity_of_long_words_is_linear(toxic_model):
+    import time
+
+    began = time.time()
+    toxic_model.score(["ab" * 1_000_000, "a b " * 300_000])
+    assert time.time() - began < 10
+
+
+def test_gapped_kernel_by_its_definition():
+    def counts(word):
+        w, out = [63, *word, 63], {}
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
+                    sub = (w[i], w[j], w[k])
+                    out[sub] = out.get(sub, 0) + toxicity.DECAY ** (k - i - 2)
+        return out
+
+    rng = random.Random(2)
+    words = [[rng.randint(1, 5) for _ in range(rng.randint(1, 12))] for _ in range(30)]
+    got = toxicity.kernel([np.array(w) for w in words], [np.array(w) for w in words[:7]])
+    for a, w in enumerate(words):
+        for b, v in enumerate(words[:7]):
+            x, y = counts(w), counts(v)
+            size = lambda c: sum(n * n for n in c.values()) ** 0.5
+            assert abs(got[a, b] - sum(n * y.get(k, 0) for k, n in x.items()) / size(x) / size(y)) < 1e-6
+
+
+def test_quality_votes_by_their_definition():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["alpha", "beta", "Gamma!", "delta", "x1"]) for _ in range(rng.randint(1, 60))) for _ in range(120)]
+    labels = [rng.randint(0, 1) for _ in texts]
+    model = quality.Model(quality.terms(pa.array(texts)), labels)
+    asked = [*texts[:20], "beta beta", "", None]
+    vector = lambda t: model._latent(model._weighted(quality.terms(pa.array([t], pa.string()))))[0].astype(float)
+    known = [(vector(t), y) for t, y in zip(texts, labels, strict=True)]
+    for t, got in zip(asked, model.score(pa.array(asked)), strict=True):
+        if not t:
+            assert got == np.float32(np.mean(labels))
+            continue
+        near = sorted(((float(vector(t) @ v), y) for v, y in known), reverse=True)
+        cut = near[quality.NEIGHBOURS - 1][0]
+        if near[quality.NEIGHBOURS][0] > cut - 1e-5:  # a tie at the edge
+            continue
+        votes = [(max(0, c) ** 4, y) for c, y in near[: quality.NEIGHBOURS]]
+        assert abs(got - sum(w * y for w, y in votes) / sum(w for w, _ in votes)) < 1e-4
+
+
+def test_language_machines_by_their_definition():
+    rng = random.Random(6)
+    stems = {"en": ["the", "of", "wh"], "de": ["der", "sch", "un"], "fr": ["le", "que", "eau"], "es": ["el", "cion", "ll"], "fi": ["kk", "aa", "yy"]}
+    texts, langs = zip(*((" ".join(rng.choice(stems[c]) + rng.choice("aeiou") for _ in range(40)), c) for c in stems for _ in range(25)), strict=True)
+    model = language_id.Model(language_id.sparse(list(texts)), list(langs))
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    for text in [*texts[::9], "der que el"]:
+        x = language_id.vectors([text])[0].astype(float)
+        p = {m: sigmoid(3 * (x @ model.table[:, k] + model.bias[k])) for k, m in enumerate(model.machines)}
+
+        def choose(names, p=p):
+            def rank(a):
+                sure = [p[a, b] if (a, b) in p else 1 - p[b, a] for b in names if b != a]
+                return sum(q >= 0.5 if (a, b) in p else q > 0.5 for q, b in zip(sure, [b for b in names if b != a], strict=True)), sum(sure)
+
+            best = max(names, key=rank)
+            return best, rank(best)[1] / max(1, len(names) - 1) if len(names) > 1 else 1.0
+
+        family, sure = choose(model.families)
+        lang, inside = choose(model.langs[family])
+        name, score = model.predict([text])
+        assert name == [lang] and abs(score[0] - sure * inside) < 1e-4
+
+
+@pytest.mark.parametrize("name", ["op1_ann_rotated_codes", "op2_decontaminate", "op5_quality", "op7_language_id", "op8_toxicity"])
+def test_queries_on_empty_tables(spark, tmp_path, name):
+    from folioforge import llm
+
+    for table in ("documents", "labels", "benchmark", "embeddings"):
+        spark.read.parquet(f"{SF}/{table}.parquet").limit(0).write.parquet(f"file://{tmp_path}/{table}.parquet")
+    assert llm.queries()[name](spark, f"file://{tmp_path}").count() == 0
+
+
+def test_learned_operators_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, columns with an operator's own names."""
+    texts = ["the cat of the house", "der Hund und die Katze", None, "", "w" * 100_000, "the the the", "1 2 3"] * 4
+    rows = [(i if i % 9 else None, t, "en" if i % 2 else None, "s", i) for i, t in enumerate(texts)] + [(1, "der Hund", "de", None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("held_out", "score", "predicted", "h", "toxic", "quality", "u", "top", "r"):
+        docs = docs.withColumn(c, F.lit("clash"))
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    marks = [(i, i % 2, (i // 2) % 2) for i in range(20)] + [(None, 1, 1), (3, None, None), (3, 1, 1), (99, 0, 0)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").withColumn("text", F.lit("clash")).write.parquet(f"file://{tmp_path}/labels.parquet")
+    for f, column in ((quality.op5_quality, "score"), (toxicity.op8_toxicity, "score"), (language_id.op7_language_id, "score")):
+        got = f(spark, f"file://{tmp_path}").collect()
+        assert len(got) == len(rows) and all(0 <= r[column] <= 1 for r in got)
+
+
 def test_windows_stay_inside_documents():
     buf, offs = np.frombuffer(b"a b cd e f", np.uint8), np.array([0, 5, 5, 10])
     starts, ends, first = arrays.words(buf, offs)
@@ -318,11 +447,9 @@ def test_windows_stay_inside_documents():
     assert arrays.window_starts(first, 3).tolist() == [0, 3]
 
 
-def test_toxicity_filter_keeps_rows_and_columns(spark):
-    clean = [f"plain words about weather number {i}" for i in range(60)]
-    toxic = [c + " gromfutz" for c in clean[:30]]
-    model = toxicity.Model(toxic + clean, [1] * 30 + [0] * 60)
-    rows = [(1, None, "a", 0.5), (2, "", "b", None), (3, "you gromfutz", "c", 0.1), (4, "plain words", None, 0.2), (4, "plain words", None, 0.2)]
+def test_toxicity_filter_keeps_rows_and_columns(spark, toxic_model):
+    model = toxic_model
+    rows = [(1, None, "a", 0.5), (2, "", "b", None), (3, "you gromfutz", "c", 0.1), (4, "ba ne ti", None, 0.2), (4, "ba ne ti", None, 0.2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
     kept = toxicity.drop_toxic(docs, model)
     assert kept.columns == docs.columns
