@@ -74,7 +74,8 @@ def links(classes: DataFrame) -> DataFrame:
     values = shared.materialize(members.groupBy("seg", "s").agg(F.count("*").alias("n")), "segment-values")
 
     # Values one bit apart: each wildcard variant holds one or two of them.
-    variants = values.select("seg", "s", "n", F.expr("explode(transform(sequence(0, 31), j -> struct(j AS j, s & ~shiftleft(1L, j) AS v)))").alias("k"))
+    spread = values.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # each row becomes 32
+    variants = spread.select("seg", "s", "n", F.expr("explode(transform(sequence(0, 31), j -> struct(j AS j, s & ~shiftleft(1L, j) AS v)))").alias("k"))
     apart = (
         variants.groupBy("seg", "k.j", "k.v")
         .agg(F.count("*").alias("c"), F.min("s").alias("s1"), F.max("s").alias("s2"), F.min_by("n", "s").alias("n1"), F.max_by("n", "s").alias("n2"))
