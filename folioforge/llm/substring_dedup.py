@@ -358,9 +358,10 @@ def _merge(width: int, docs: pa.Table, answers: pa.Table) -> pa.Table:
     gone = np.zeros(len(chunk.words), bool)
     if len(at):
         h, g = chunk.full(at)
-        later = np.zeros(len(at), bool)
-        for n, blob in zip(answers.column("n").to_pylist(), answers.column("hashes").to_pylist(), strict=True):  # a row a range
-            later |= _find(h, g, np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.uint64, n, 8 * n)) >= 0
+        counts, blobs = answers.column("n").to_pylist(), answers.column("hashes").to_pylist()
+        of_h, of_g = (np.concatenate([np.frombuffer(b, np.uint64, n, 8 * n * k) for n, b in zip(counts, blobs, strict=True)] or [h[:0]]) for k in (0, 1))
+        order = np.lexsort((of_g, of_h))
+        later = _find(h, g, of_h[order], of_g[order]) >= 0
         doc = chunk.doc_of(at)
         ids, pos = chunk.ids[doc], at - chunk.first[doc]
         order, heads = _first(h, g, ids, pos)  # repeats inside the chunk
