@@ -215,3 +215,60 @@ def get_item(fields: dict[str, Column], other: Column, key: str) -> Column:
     """Case-insensitive access to fixed identifier columns, else the overflow map."""
     name = key.strip().lower()
     return fields[name] if name in fields else F.element_at(other, F.lit(name))
+
+
+def as_list(c: Column) -> Column:
+    """JSON text to a list of JSON texts: an array's items, nothing for null, else the value alone."""
+    v = F.try_parse_json(c)
+    kind = F.schema_of_variant(v)
+    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.to_json(x))
+    return F.when(c.isNull() | (kind == "VOID"), F.array().cast("array<string>")).when(kind.startswith("ARRAY"), items).otherwise(F.array(c))
+
+
+def node_text(c: Column) -> Column:
+    """The text of a JSON value made from XML: a string itself, the #text of an object, else its texts joined."""
+    v = F.try_parse_json(c)
+    kind = F.schema_of_variant(v)
+    own = F.try_variant_get(v, "$['#text']", "string")
+    parts = F.map_values(F.from_json(c, "map<string,string>"))
+    joined = F.array_join(F.filter(parts, lambda x: missing(x).isNotNull()), " ")
+    return F.when(c.isNull() | (kind == "VOID"), "").when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind.startswith("OBJECT"), F.coalesce(own, joined)).otherwise(F.coalesce(F.try_variant_get(v, "$", "string"), c))
+
+
+def identifier_payload(neurostore: Column, pmid: Column, doi: Column, pmcid: Column, other_ids: Column) -> Column:
+    """Identifier JSON without nulls and the text 'null'; other_ids is always there."""
+    present = lambda c, name: F.when(c != "null", c).alias(name)
+    other = F.coalesce(other_ids, F.create_map().cast("map<string,string>"))
+    return F.to_json(F.struct(present(neurostore, "neurostore"), present(pmid, "pmid"), present(doi, "doi"), present(pmcid, "pmcid"), other.alias("other_ids")))
+
+
+def identifier_key(neurostore: Column, doi: Column, pmid: Column, pmcid: Column, record: Column) -> Column:
+    """(field, value) of the first present identifier, else the whole record's JSON."""
+    pair = lambda name, c: F.when(missing(c).isNotNull(), F.struct(F.lit(name).alias("field"), c.alias("value")))
+    return F.coalesce(pair("neurostore", neurostore), pair("doi", doi), pair("pmid", pmid), pair("pmcid", pmcid), F.struct(F.lit("json").alias("field"), F.to_json(record).alias("value")))
+
+
+def first_text(json: Column, *names: str, default: Column | None = None) -> Column:
+    """The first present field of a JSON object, as text."""
+    found = [missing(F.get_json_object(json, f"$['{n}']")) for n in names]
+    return F.coalesce(*found, default if default is not None else F.lit(None).cast("string"))
+
+
+def pub_year(year: Column, medline_date: Column) -> Column:
+    """The year of a publication date: the first four characters of its year, else a year in its free date."""
+    return F.coalesce(F.when(F.substring(year, 1, 4).rlike(r"^\s*\d+\s*$"), F.substring(year, 1, 4).try_cast("int")), missing(F.regexp_extract(medline_date, r"((?:19|20)\d{2})", 1)).try_cast("int"))
+
+
+def pmcid_of(path: Column, article_xml: Column) -> Column:
+    """PMCnnn of a path that names one, else of the article's own id."""
+    own = missing(strip(F.xpath_string(article_xml, F.lit("//article-id[@pub-id-type='pmcid']/text()"))))
+    up = F.upper(own)
+    return F.coalesce(pmcid_from_path(path), F.when(up.startswith("PMC"), up).otherwise(F.concat(F.lit("PMC"), up)))
+
+
+def table_prompt(instructions: Column, title: Column, abstract: Column, table_id: Column, number: Column, caption: Column, footer: Column, metadata: Column, content: Column) -> Column:
+    """The request text of one table: instructions, then the article's and the table's fields, metadata by sorted key."""
+    pairs = F.map_from_entries(F.array_sort(F.map_entries(F.coalesce(metadata, F.create_map().cast("map<string,string>")))))
+    line = lambda name, c: F.concat(F.lit(f"{name}: "), F.coalesce(c.cast("string"), F.lit("")))
+    fields = [line("Title", title), line("Abstract", abstract), line("Table", table_id), line("Number", number), line("Caption", caption), line("Footer", footer), line("Metadata", F.to_json(pairs))]
+    return strip(F.concat_ws("\n", instructions, F.lit(""), *fields, F.lit(""), F.lit("Content:"), F.coalesce(content, F.lit(""))))
