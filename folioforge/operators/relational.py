@@ -155,6 +155,11 @@ def any_key_dedup_all(df: DataFrame, keys: Sequence[str], pos: str = "pos") -> D
     return df if gone is None else df.join(gone.select(F.col("p").alias(pos)), pos, "left_anti").select(df.columns)
 
 
+def in_order(items: Column, pos: str = "pos") -> Column:
+    """An array of structs sorted by one field; the others need no order."""
+    return F.array_sort(items, lambda a, b: F.when(a[pos] < b[pos], -1).when(a[pos] > b[pos], 1).otherwise(0))
+
+
 def batches(df: DataFrame, size: int, group: str, pos: str = "pos") -> DataFrame:
     """Numbers of fixed-size batches inside each group."""
     n = F.row_number().over(Window.partitionBy(group).orderBy(pos))
