@@ -155,6 +155,36 @@ def any_key_dedup_all(df: DataFrame, keys: Sequence[str], pos: str = "pos") -> D
     return df if gone is None else df.join(gone.select(F.col("p").alias(pos)), pos, "left_anti").select(df.columns)
 
 
+def number_rows(df: DataFrame, *by: str | Column) -> DataFrame:
+    """df with pos, from 1, in order; ranges are numbered apart and the counts of the ranges before added."""
+    ranged = df.repartitionByRange(*by).withColumn("__p", F.spark_partition_id())
+    inside = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*by)))
+    counts = inside.groupBy("__p").agg(F.count("*").alias("__n"))
+    before = counts.withColumn("__b", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)))  # a row a partition
+    return inside.join(F.broadcast(before), "__p").withColumn("pos", (F.col("__i") + F.coalesce("__b", F.lit(0))).cast("long")).drop("__p", "__i", "__n", "__b")
+
+
+def unique_stems(df: DataFrame, scope: str, base: str, index: str) -> DataFrame:
+    """df with stem: the base name, if no row before it in its scope took it, else base-index, lengthened until it is free.
+
+    Rows go by index; a scope is one article's tables, in one task.
+    """
+
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(index)
+        used: set[str] = set()
+        stems = []
+        for name, i in zip(rows[base], rows[index], strict=True):
+            stem = name if name not in used else f"{name}-{i}"
+            while stem in used:
+                stem = f"{stem}-{i + 1}"
+            used.add(stem)
+            stems.append(stem)
+        return rows.assign(stem=stems)
+
+    return df.groupBy(scope).applyInPandas(fold, df.withColumn("stem", F.lit("")).schema)
+
+
 def in_order(items: Column, pos: str = "pos") -> Column:
     """An array of structs sorted by one field; the others need no order."""
     return F.array_sort(items, lambda a, b: F.when(a[pos] < b[pos], -1).when(a[pos] > b[pos], 1).otherwise(0))

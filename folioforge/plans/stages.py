@@ -39,6 +39,34 @@ class Settings:
         return out
 
 
+def _typed(values: dict[str, str]) -> dict:
+    """Texts as the settings' types: true and false, lists by commas."""
+    kinds = {f.name: f.default for f in fields(Settings)}
+    out: dict = {}
+    for name, text in values.items():
+        if name not in kinds:
+            raise ValueError(f"unknown setting: {name}")
+        text = text.strip()
+        if isinstance(kinds[name], bool):
+            out[name] = text.lower() in ("1", "true", "yes", "on")
+        elif isinstance(kinds[name], tuple):
+            out[name] = tuple(v.strip() for v in text.strip("[]").split(",") if v.strip())
+        else:
+            out[name] = text
+    return out
+
+
+def from_environment(environ) -> dict:
+    return _typed({k.removeprefix("FOLIOFORGE_").lower(): v for k, v in environ.items() if k.startswith("FOLIOFORGE_")})
+
+
+def from_file(path: str) -> dict:
+    """Lines `name: value`; blank lines and lines that start with # are skipped."""
+    with open(path, encoding="utf-8") as file:
+        lines = [line for line in map(str.strip, file) if line and not line.startswith("#")]
+    return _typed(dict(line.split(":", 1) for line in lines))
+
+
 def normalize_stages(stages) -> list[str]:
     """Lower-cased, checked, distinct, in canonical order; none means all."""
     wanted = [s.strip().lower() for s in stages or []]

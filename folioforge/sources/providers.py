@@ -40,22 +40,13 @@ def search(pages: DataFrame, query: str, start_year: int = 1990, end_year: int =
         order = Window.orderBy("page", "place")  # CAP rows at most
         return hits.filter("year IS NULL").select("pmid", F.row_number().over(order).cast("long").alias("pos"))
     years = hits.filter(F.col("year").between(start_year, end_year)).select("pmid").distinct()
-    return _numbered(years, "pmid")
-
-
-def _numbered(df: DataFrame, *by: str) -> DataFrame:
-    """Row numbers in order without one task for all rows: counts of the ranges before are added to places inside."""
-    ranged = df.repartitionByRange(*by).withColumn("__p", F.spark_partition_id())
-    inside = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*by)))
-    counts = inside.groupBy("__p").agg(F.count("*").alias("__n"))
-    before = counts.withColumn("__b", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)))  # a row a partition
-    return inside.join(F.broadcast(before), "__p").withColumn("pos", (F.col("__i") + F.coalesce("__b", F.lit(0))).cast("long")).drop("__p", "__i", "__n", "__b")
+    return rel.number_rows(years, "pmid")
 
 
 def requests(ids: DataFrame, provider: str, id_type: str, pos: str = "pos") -> DataFrame:
     """(batch, place, value): the ids that a provider is asked for, in order, in batches of its size."""
     asked = ids.filter(cols.missing(F.col(id_type)).isNotNull()).select(F.col(pos).alias("__pos"), cols.strip(F.col(id_type)).alias("value"))
-    numbered = _numbered(asked, "__pos", "value").withColumn("n", F.col("pos") - 1)
+    numbered = rel.number_rows(asked, "__pos", "value").withColumn("n", F.col("pos") - 1)
     size = BATCH[provider]
     return numbered.select(F.floor(F.col("n") / size).cast("long").alias("batch"), (F.col("n") % size).cast("long").alias("place"), "value")
 

@@ -85,17 +85,12 @@ def test_stage_order_and_settings():
     assert stages.run_stages(stages.Settings(dry_run=True), {}).done == stages.STAGES
 
 
-def test_manifest_round_trip_and_search(spark, tmp_path):
+def test_manifest_round_trip(spark, tmp_path):
     path = f"{tmp_path}/m.jsonl"
     df = spark.createDataFrame([(None, "1", None, None, {"a": "b"})], readers.IDENTIFIER)
     sinks.save_identifiers(df, path)
     assert readers.load_manifest(spark, path).drop("pos").collect() == df.collect()
     assert readers.load_identifiers(spark, f"{tmp_path}/none.jsonl").count() == 0
-    spark.dataSource.register(readers.ReplaySearch)
-    search = lambda **o: spark.read.format("replay_search").options(**o).load().count()
-    assert search(query="q", total=2500) == 2500
-    assert search(query="q", total=10_000, start_year=1990, end_year=1992) == 6
-    assert search(query=" ", total=5) == 0
 
 
 def test_external_coordinates_replace(spark):
