@@ -8,6 +8,7 @@ cached_at, pmid, pmcid, doi, ...); columns may be added later and are null in ol
 from __future__ import annotations
 
 import contextlib
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -24,6 +25,16 @@ KEYS = ["slug", "pmid", "doi", "pmcid"]
 KEPT = 2
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder below spark.checkpoint.dir, which driver and executors share. Only a local master may go without one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='folioforge-')}"
+    return f"{root.rstrip('/')}/folioforge/{label}-{uuid.uuid4().hex}"
+
+
 class Cache:
     """The table of one namespace and source below root."""
 

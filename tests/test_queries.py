@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from folioforge.plans import queries
+from folioforge.plans import content_queries, queries  # noqa: F401  both register queries
 
 SF = "/root/testdata/sf0.001"
 
