@@ -184,15 +184,23 @@ def content_md5(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5("html").alias("md5"), F.substring(F.sha2("url", 256), 1, 32).alias("sha_prefix"))
 
 
-@query("SELECT page_id, md5(url || 'b') AS digest FROM pages")
+@query("SELECT page_id, md5(replace(CASE page_id % 3 WHEN 0 THEN url WHEN 1 THEN chr(0) || url || chr(0) ELSE replace(url, '/', chr(0)) END, chr(0), '')) AS digest FROM pages")
 def strip_nul(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(cols.strip_nul(F.concat("url", F.lit("\x00b\x00")))).alias("digest"))
+    k, url, nul = F.col("page_id"), F.col("url"), F.lit("\x00")
+    dirty = F.when(k % 3 == 0, url).when(k % 3 == 1, F.concat(nul, url, nul)).otherwise(F.replace(url, F.lit("/"), nul))
+    return table(spark, sf, "pages").select("page_id", F.md5(cols.strip_nul(dirty)).alias("digest"))
 
 
-@query("SELECT o_orderkey, year(o_orderdate)::BIGINT AS year_lead, year(o_orderdate)::BIGINT AS year_inside, year(o_orderdate)::BIGINT AS year_dash FROM orders")
+_DATES = "SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN 'Winter ' || year(o_orderdate) WHEN 2 THEN '' || year(o_orderdate) WHEN 3 THEN 'n.d.' WHEN 4 THEN '12-' || year(o_orderdate) ELSE '' END AS d FROM orders"
+
+
+@query(f"""WITH t AS ({_DATES}) SELECT o_orderkey, coalesce(CASE WHEN regexp_full_match(d[1:4], '[0-9]{{4}}') THEN d[1:4]::BIGINT END, nullif(regexp_extract(d, '((19|20)[0-9]{{2}})', 1), '')::BIGINT) AS year_any,
+ CASE WHEN regexp_full_match(split_part(d, '-', 1), '[0-9]+') THEN split_part(d, '-', 1)::BIGINT END AS year_dash, CASE WHEN o_orderkey % 6 IN (0, 2) THEN d[1:4]::BIGINT ELSE nullif(regexp_extract('Spring 1987-88', '((19|20)[0-9]{{2}})', 1), '')::BIGINT END AS year_pub FROM t""")
 def year_extract(spark, sf):
-    d = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return table(spark, sf, "orders").select("o_orderkey", _n(cols.year_of(d)).alias("year_lead"), _n(cols.year_of(F.concat(F.lit("Winter "), d))).alias("year_inside"), _n(cols.year_before_dash(d)).alias("year_dash"))
+    k, y = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy")
+    d = F.when(k % 6 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k % 6 == 1, F.concat(F.lit("Winter "), y)).when(k % 6 == 2, y).when(k % 6 == 3, "n.d.").when(k % 6 == 4, F.concat(F.lit("12-"), y)).otherwise("")
+    published = cols.pub_year(F.when(k % 6 != 4, d), F.lit("Spring 1987-88"))
+    return table(spark, sf, "orders").select("o_orderkey", _n(cols.year_of(d)).alias("year_any"), _n(cols.year_before_dash(d)).alias("year_dash"), _n(published).alias("year_pub"))
 
 
 @query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 2 THEN NULL ELSE 'PMC' || o_orderkey END AS from_path, CASE o_orderkey % 3 WHEN 2 THEN NULL ELSE '' || o_orderkey END AS digits FROM orders")
@@ -225,16 +233,6 @@ def html_validation(spark, sf):
     return table(spark, sf, "pages").select("page_id", cols.html_verdict(bad).alias("reason"))
 
 
-_META = "WITH m AS (SELECT d.doc_id, nullif(d.lang, '') AS title, l.quality, l.toxic, d.source FROM documents d LEFT JOIN labels l USING (doc_id))"
-
-
-@query(f"{_META} SELECT doc_id, (title IS NOT NULL OR quality IS NOT NULL OR toxic IS NOT NULL) AS useful, (quality IS NOT NULL OR toxic IS NOT NULL) AS substantive, (title IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL) AS complete FROM m")
-def metadata_predicates(spark, sf):
-    m = table(spark, sf, "documents").select("doc_id", cols.missing(F.col("lang")).alias("title")).join(table(spark, sf, "labels"), "doc_id", "left")
-    t, q, x = (F.col(c).isNotNull() for c in ("title", "quality", "toxic"))
-    return m.select("doc_id", (t | q | x).alias("useful"), (q | x).alias("substantive"), (t & q & x).alias("complete"))
-
-
 _NUM = r"CASE WHEN regexp_matches({0}, '^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$') THEN try_cast({0} AS DOUBLE) END"
 
 
@@ -381,12 +379,19 @@ def any_key_batch_dedup(spark, sf):
     return rel.any_key_dedup_all(rows, ["slug", "pmid", "doi", "pmcid"]).select("pos", "slug")
 
 
-@query("""WITH r AS (SELECT conv_id, turn, nullif(role, '') AS title, text AS abstract FROM conversations)
-SELECT conv_id, arg_min(title, turn) FILTER (WHERE title IS NOT NULL) AS title, arg_max(abstract, (coalesce(length(abstract), 0), -turn)) AS abstract FROM r GROUP BY 1""")
+@query("""WITH r AS (SELECT conv_id, turn, nullif(role, '') AS role, text FROM conversations), w AS (SELECT conv_id, role, min(turn) AS t FROM r WHERE turn % 2 = 0 GROUP BY 1, 2)
+SELECT r.conv_id, arg_min(role, turn) AS title, arg_max(text, (length(text), -turn)) AS abstract, arg_min(CASE WHEN turn % 3 = 1 THEN text END, turn) FILTER (WHERE turn % 3 = 1 AND text <> '') AS journal,
+ arg_min(CASE WHEN turn >= 1 THEN 'l' || turn END, turn) FILTER (WHERE turn >= 1) AS license, arg_min(turn % 2 = 0, turn) FILTER (WHERE turn >= 2) AS open_access,
+ arg_max(repeat(role || ',', (turn % 3 + 1)::INT), (turn % 3 + 1, -turn)) AS authors, (SELECT string_agg(w.role, ',' ORDER BY w.t) FROM w WHERE w.conv_id = r.conv_id) AS keywords FROM r GROUP BY 1""")
 def metadata_merge(spark, sf):
-    none = F.lit(None).cast("string")
-    rows = table(spark, sf, "conversations").select("conv_id", "turn", F.col("role").alias("title"), F.col("text").alias("abstract"), none.alias("journal"), none.alias("license"), F.lit(None).cast("boolean").alias("open_access"), F.array("role").alias("authors"), F.array("role").alias("keywords"))
-    return rel.metadata_fold(rows, "conv_id", "turn").select("conv_id", "title", "abstract")
+    t, role, text = F.col("turn"), F.col("role"), F.col("text")
+    fields = {
+        "title": role, "abstract": text, "journal": F.when(t % 3 == 1, text).otherwise(""), "license": F.when(t >= 1, F.concat(F.lit("l"), t.cast("string"))), "open_access": F.when(t >= 2, t % 2 == 0),
+        "authors": F.array_repeat(role, (t % 3 + 1).cast("int")), "keywords": F.when(t % 2 == 0, F.array(role, role)),
+    }
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", *(c.alias(n) for n, c in fields.items()))
+    lists = {"authors": F.concat(F.array_join("authors", ","), F.lit(",")), "keywords": cols.missing(F.array_join("keywords", ","))}
+    return rel.metadata_fold(rows, "conv_id", "turn").withColumns(lists)
 
 
 @query("SELECT doc_id, CASE WHEN l.quality IS NOT NULL THEN 'labels' WHEN b.item_id IS NOT NULL THEN 'benchmark' ELSE 'fallback' END AS source FROM documents d LEFT JOIN labels l USING (doc_id) LEFT JOIN benchmark b ON d.doc_id = b.item_id")
@@ -445,9 +450,11 @@ def dynamic_union(spark, sf):
     return a.unionByName(b, allowMissingColumns=True).na.fill("")
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN json_extract_string(props, '$.k') WHEN 1 THEN event_type ELSE 'none' END AS found FROM events""")
 def json_props(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    k, t = F.col("event_id"), F.col("event_type")
+    doc = F.when(k % 3 == 0, F.col("props")).when(k % 3 == 1, F.concat(F.lit('{"k":"","dc:k":"'), t, F.lit('"}'))).otherwise("{broken")
+    return table(spark, sf, "events").select("event_id", cols.first_text(doc, "k", "dc:k", default=F.lit("none")).alias("found"))
 
 
 @query("SELECT o_orderkey AS article, l_linenumber::BIGINT AS tab, l_quantity AS x, l_discount AS y, l_tax AS z FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'")
