@@ -56,7 +56,7 @@ def merge(ranks: dict[bytes, int], data: bytes) -> list[bytes]:
 class Transducer:
     """encode(piece) gives token ids; step() is the automaton itself."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 1 << 16):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 1 << 17):
         self.ranks, self.most = ranks, most_states
         self.by_rank = {i: b for b, i in ranks.items()}
         self.token_lens = {i: len(b) for b, i in ranks.items()}
@@ -97,7 +97,7 @@ class Transducer:
             x, y = self.by_rank[a], self.by_rank[b]
             joined = x + y
             known = not (joined in self.ranks and self._reachable(joined)) and merge(self.ranks, joined) == [x, y]
-            if len(self.pairs) >= 2 * self.most:
+            if len(self.pairs) >= 8 * self.most:
                 self.pairs.clear()
             self.pairs[a, b] = known
         return known

@@ -6,6 +6,7 @@ found with array operations for a whole slice of documents at once. White space
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -62,43 +63,34 @@ def piece_starts(chars: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 class PieceCache:
-    """Ids of pieces, each encoded once and kept, up to a bound; beyond it the cache starts anew.
+    """Ids of pieces, each encoded once and kept, up to a bound: the half that was not asked for lately goes.
 
     The pieces of a slice are grouped by hash and compared with their group's first piece, character by character;
     groups are looked up by the piece itself.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1 << 19):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 3 << 19):
         self.encode, self.most = encode, most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.at: list[int] = []
-        self.lens: list[int] = []
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-
-    def _add(self, pieces: list[str]) -> None:
-        lists = self.encode(pieces)
-        total = sum(map(len, lists))
-        if self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(total, len(self.ids)), np.uint32)])
-        self.ids[self.used : self.used + total] = np.fromiter((i for x in lists for i in x), np.uint32, total)
-        for piece, ids in zip(pieces, lists, strict=True):
-            self.place[piece] = len(self.at)
-            self.at.append(self.used)
-            self.lens.append(len(ids))
-            self.used += len(ids)
-
-    def _places(self, pieces: list[str]) -> list[int]:
-        new = list(dict.fromkeys(p for p in pieces if p not in self.place))
-        if new and len(self.place) + len(new) > self.most:  # anew, with all that this slice needs
-            self._clear()
-            new = list(dict.fromkeys(pieces))
+        self.young: dict[str, bytes] = {}  # ids as unsigned 32-bit integers
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        young, old = self.young, self.old
+        new = []
+        for piece in pieces:
+            if piece not in young:
+                ids = old.get(piece)
+                if ids is None:
+                    new.append(piece)
+                else:
+                    young[piece] = ids
         if new:
-            self._add(new)
-        return [self.place[p] for p in pieces]
+            new = list(dict.fromkeys(new))
+            young.update((p, struct.pack(f"{len(x)}I", *x)) for p, x in zip(new, self.encode(new), strict=True))
+        out = [young[p] for p in pieces]
+        if 2 * len(young) > self.most:
+            self.young, self.old = {}, young
+        return out
 
     def __call__(self, chars: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, one after another, and the n + 1 places of each document's ids."""
@@ -112,10 +104,12 @@ class PieceCache:
             group[odd] = len(first) + np.arange(len(odd))
             first = np.concatenate([first, odd])
         text = chars.astype("<u4").tobytes().decode("utf-32-le")
-        places = np.array(self._places([text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]))
-        off, lens = (np.fromiter((x[i] for i in places), np.int64, len(places))[group] for x in (self.at, self.lens))
+        found = self._ids([text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        off, lens = (np.cumsum(size) - size)[group], size[group]
         total = np.concatenate([[0], np.cumsum(lens)])
-        return arrays.ragged(self.ids, off, lens), total[np.searchsorted(starts, offs)]
+        return arrays.ragged(ids, off, lens), total[np.searchsorted(starts, offs)]
 
     @staticmethod
     def _differ(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, of: np.ndarray) -> np.ndarray:
