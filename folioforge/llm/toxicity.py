@@ -59,14 +59,14 @@ _STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 def _letters(chars: np.ndarray) -> np.ndarray:
     """Codes 1 to 62 of letters: a-z and the commonest accents apart, others folded together."""
     code = np.where((chars >= 97) & (chars <= 122), chars - 96, 27 + (chars * np.uint32(2654435761) >> np.uint32(20)) % np.uint32(36))
-    return code.astype(np.int64)
+    return code.astype(np.uint8)
 
 
-def features(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, subsequence, weight) of the words given as letter codes; weights of a word have norm 1."""
-    lens = np.array([len(w) for w in words], np.int64)
-    flat = np.concatenate([np.concatenate([[63], w, [63], np.zeros(SPAN, np.int64)]) for w in words]) if words else np.zeros(0, np.int64)
-    size = lens + 2 + SPAN
+    gap = b"\x3f" + bytes(SPAN)  # an end, 63, and room that no subsequence spans
+    flat = np.frombuffer(b"".join(b"\x3f" + w + gap for w in words), np.uint8).astype(np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2 + SPAN
     word = np.repeat(np.arange(len(words)), size)
     rows, subs, weights = [], [], []
     at = np.flatnonzero(flat > 0)
@@ -84,7 +84,7 @@ def features(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return row, sub, total / np.maximum(norm[row], 1e-12)
 
 
-def kernel(words: list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
+def kernel(words: list[bytes], landmarks: list[bytes]) -> np.ndarray:
     row, sub, weight = features(landmarks)
     held, column = np.unique(sub, return_inverse=True)
     table = np.zeros((len(held), len(landmarks)), np.float32)
@@ -151,12 +151,12 @@ def _sentences(token: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     return out
 
 
-def _variants(word: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
+def _variants(word: bytes, rng: np.random.Generator) -> list[bytes]:
     """Disguises to learn as well, of words of five letters or more: a letter put in, and a letter doubled."""
     if len(word) < 5:
         return []
-    put = rng.integers(1, len(word), 4)
-    return [np.insert(word, k, rng.integers(1, 27)) for k in put[:3]] + [np.insert(word, put[3], word[put[3]])]
+    put = rng.integers(1, len(word), 4).tolist()
+    return [word[:k] + bytes([rng.integers(1, 27)]) + word[k:] for k in put[:3]] + [word[: put[3]] + word[put[3] :][:1] + word[put[3] :]]
 
 
 def _without_copies(owner: np.ndarray, sentence: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -211,8 +211,10 @@ class Model:
             sentence.append(number[once] + n)
             n += int(number.max(initial=-1)) + 1
             key.append(hashes[once])
-            for h, at in zip(*np.unique(hashes, return_index=True), strict=True):
-                spell.setdefault(int(h), codes[starts[at] : ends[at]])
+            letters = codes.tobytes()
+            each, at = np.unique(hashes, return_index=True)
+            for h, a, b in zip(each.tolist(), starts[at].tolist(), ends[at].tolist(), strict=True):
+                spell.setdefault(h, letters[a:b])
         if not owner:
             return
         owner, sentence, key, less = (np.concatenate(c) for c in (owner, sentence, key, less))
@@ -274,7 +276,7 @@ class Model:
     def _hash(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return arrays.span_hash(codes, starts, ends)
 
-    def _margins(self, words: list[np.ndarray]) -> np.ndarray:
+    def _margins(self, words: list[bytes]) -> np.ndarray:
         out = []
         for i in range(0, len(words), 2_000):
             row, sub, weight = features(words[i : i + 2_000])
@@ -292,7 +294,8 @@ class Model:
                 self.held = {}
             names = keys.tolist()
             new = [k for k, name in enumerate(names) if name not in self.held]
-            values = self._margins([codes[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+            letters = codes.tobytes()
+            values = self._margins([letters[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
             self.held.update(zip((names[k] for k in new), values.tolist(), strict=True))
             value = np.fromiter((self.held[name] for name in names), np.float64, len(names))
             np.maximum.at(out, text + i, value[inverse] - JOINED * joined)
