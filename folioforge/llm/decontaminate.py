@@ -314,7 +314,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs, all columns, without the rows that hold an item."""
     rows = docs.toDF(*("text" if c == "text" else f"__dc_{i}" for i, c in enumerate(docs.columns)))  # a column Text is another one
-    gone = _found(rows.select(F.lit(0).alias("doc_id"), "text"), benchmark).select("digest").distinct()
+    gone = shared.materialize(_found(rows.select(F.lit(0).alias("doc_id"), "text"), benchmark).select("digest").distinct(), "contaminated")  # its size is known when the join is planned
     return rows.withColumn("digest", _digest()).join(gone, "digest", "left_anti").drop("digest").toDF(*docs.columns)
 
 
