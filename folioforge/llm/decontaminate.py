@@ -314,8 +314,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs, all columns, without the rows that hold an item."""
     rows = docs.toDF(*("text" if c == "text" else f"__dc_{i}" for i, c in enumerate(docs.columns)))  # a column Text is another one
-    gone = shared.materialize(_found(rows.select(F.lit(0).alias("doc_id"), "text"), benchmark).select("digest").distinct(), "contaminated")  # its size is known when the join is planned
-    return rows.withColumn("digest", _digest()).join(gone, "digest", "left_anti").drop("digest").toDF(*docs.columns)
+    gone = shared.materialize(_found(rows.select(F.lit(0).alias("doc_id"), "text"), benchmark).select("digest").distinct(), "contaminated")
+    maybe = docs.sparkSession.sparkContext.broadcast(Filter(gone.select(F.xxhash64("digest").alias("hash"), F.lit(0).alias("width"))))
+
+    @F.arrow_udf("boolean")
+    def passes(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array(maybe.value(np.asarray(column).view(np.uint64)))
+
+    # Only rows that pass the filter of contaminated digests are joined, and shuffled where the join asks for it.
+    keyed = rows.withColumn("digest", _digest()).withColumn("maybe", passes(F.xxhash64("digest")))
+    rest = keyed.filter("maybe").join(gone, "digest", "left_anti")
+    names = rows.columns
+    return keyed.filter("NOT maybe").select(*names).unionByName(rest.select(*names)).toDF(*docs.columns)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
