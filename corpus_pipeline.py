@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before kept, and returns a DataFrame;
 all but the last return the columns of documents. The caller writes every stage's result and reads it again.
-A row whose text is null passes every filter that its text doesn't fail, and keeps its null.
+Rows are judged by their texts, not by doc_id, which may repeat or be null. Null texts pass toxicity, line dedup and
+decontamination and keep their null; as texts they are equal to each other and to every text without a word, so
+the SimHash stage keeps one row of them all.
 """
 
 from __future__ import annotations
