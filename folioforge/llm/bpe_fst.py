@@ -56,7 +56,7 @@ def merge(ranks: dict[bytes, int], data: bytes) -> list[bytes]:
 class Transducer:
     """encode(piece) gives token ids; step() is the automaton itself."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 1 << 17):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 1 << 16):
         self.ranks, self.most = ranks, most_states
         self.by_rank = {i: b for b, i in ranks.items()}
         self.token_lens = {i: len(b) for b, i in ranks.items()}
@@ -154,7 +154,7 @@ class Transducer:
             return [whole]
         state, out = 0, []
         for at in range(0, len(piece), 256):
-            if len(self.content) > self.most or len(self.moves) > 8 * self.most:  # anew, from the state that is held
+            if len(self.content) > self.most or len(self.moves) > 4 * self.most:  # anew, from the state that is held
                 held = self.content[state]
                 self._reset()
                 state = self._state(*held)

@@ -101,7 +101,7 @@ def kernel(words: list[bytes], landmarks: list[bytes]) -> np.ndarray:
 def segments_of(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Slices (i, j, codes, starts, ends, text, sentence, joined) of texts: the segments' letters, spans, texts and sentences, and which are two words."""
     lower = [t.lower() if t else t for t in texts]
-    for i, j, chars, offs in pretoken.texts_as_chars(lower, arrays.SLICE_BYTES // 2):
+    for i, j, chars, offs in pretoken.texts_as_chars(lower, arrays.SLICE_BYTES // 8):
         kind = pretoken.classes()[chars] if len(chars) else np.zeros(0, np.uint8)
         letter, space = kind == 1, kind == 0
         edge = np.zeros(len(chars) + 1, bool)
@@ -283,7 +283,7 @@ class Model:
             out.append(np.bincount(row, weight * self.table[sub], len(words[i : i + 2_000])))
         return np.concatenate(out) + self.bias if out else np.zeros(0)
 
-    def margins(self, texts: list[str | None], most: int = 1 << 20) -> np.ndarray:
+    def margins(self, texts: list[str | None], most: int = 1 << 18) -> np.ndarray:
         """The worst margin of each text; without a segment, the smallest that counts."""
         out = np.full(len(texts), -9.0)
         for i, _, codes, starts, ends, text, _, joined in segments_of(texts):
