@@ -69,7 +69,7 @@ class PieceCache:
     groups are looked up by the piece itself.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1 << 20):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 5 << 18):
         self.encode, self.most = encode, most
         self.young: dict[str, bytes] = {}  # ids as unsigned 32-bit integers
         self.old: dict[str, bytes] = {}
